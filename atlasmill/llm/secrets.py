@@ -1,7 +1,7 @@
 """Secret scans: all rules as one minimised automaton, run over the bytes of many texts at a time in one pass.
 
-A batch of texts is cut into streams at pairs of bytes after which the automaton is in its first state whatever came before, so
-no match spans a cut; the streams are stepped together through the transition array. Only streams in which a rule's bit came
+A batch of texts is cut into streams at pairs of bytes after which every rule's automaton is in its first state whatever came
+before, so no match spans a cut; the streams are stepped together through the transition array. Only streams in which a rule's bit came
 up are walked again, with that rule's own automaton, from left to right for its longest non-overlapping matches; those that
 are too short are dropped.
 
@@ -28,26 +28,26 @@ from atlasmill.llm.workspace import prepare, table
 
 @dataclass(frozen=True)
 class Rule:
-    """scan: what the combined automaton looks for, at least a part of each match that counts. value: what must have least characters."""
+    """scan: what the combined automaton looks for, within each match that counts. What follows value in a match must have least characters."""
 
     kind: str
     pattern: str
-    scan: str
     least: int
+    scan: str
     either_case: bool = False
     value: str = ""
 
 
 #: The base kinds in their order, then public token formats.
 RULES = (
-    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=\-]+)""", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=\-]""", 6, True, r"""^\w+?["']?\x20*[:=]\x20*["']?"""),
-    Rule("access", r"AKIA[A-Z0-9]+", r"AKIA[A-Z0-9]", 20),
-    Rule("hex", r"[0-9a-f]+", r"[0-9a-f]{24}", 24),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", r"gh[pousr]_[A-Za-z0-9]", 40),
-    Rule("slack", r"xox[abprs]\-[A-Za-z0-9\-]+", r"xox[abprs]\-", 15),
-    Rule("google", r"AIza[A-Za-z0-9_\-]+", r"AIza", 39),
-    Rule("jwt", r"eyJ[A-Za-z0-9_\-]+\.eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+", r"eyJ[A-Za-z0-9_\-]+\.eyJ", 30),
-    Rule("private_key", r"\-\-\-\-\-BEGIN ([A-Z]+ )*PRIVATE KEY\-\-\-\-\-", r"\-\-\-\-\-BEGIN ([A-Z]+ )*PRIVATE KEY", 20),
+    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=\-]+)""", 6, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=\-]""", True, r"""^\w+?["']?\x20*[:=]\x20*["']?"""),
+    Rule("access", r"AKIA[A-Z0-9]+", 20, r"AKIA[A-Z0-9]"),
+    Rule("hex", r"[0-9a-f]+", 24, r"[0-9a-f]{24}"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40, r"gh[pousr]_"),
+    Rule("slack", r"xox[abprs]\-[A-Za-z0-9\-]+", 15, r"xox[abprs]\-"),
+    Rule("google", r"AIza[A-Za-z0-9_\-]+", 39, r"AIza"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_\-]+\.eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+", 30, r"\.eyJ"),
+    Rule("private_key", r"\-\-\-\-\-BEGIN ((RSA|EC|DSA|OPENSSH|ENCRYPTED) )?PRIVATE KEY\-\-\-\-\-", 20, r"PRIVATE KEY\-\-\-\-\-"),
 )
 BASE = ("assign", "access", "hex")
 STREAM, CHUNK = 320, 1 << 20
@@ -58,12 +58,15 @@ class Scanner:
         self.rules = rules
         self.all = compile_all([(r.scan, r.either_case) for r in rules], unanchored=True)
         self.each = [compile_all([(r.pattern, r.either_case)], unanchored=False) for r in rules]
-        self.rest = self.all.rests().ravel()
-        n = len(self.all.next)
-        self.step = (self.all.next * 256).astype(np.int32).ravel()
-        bits = np.zeros(n * 256, np.uint16)
-        bits[np.arange(n) * 256] = self.all.accepts
-        self.bits = bits
+        self.rest = np.logical_and.reduce([compile_all([(r.pattern, r.either_case)], unanchored=True).rests() for r in rules]).ravel()
+        # states renumbered so that those with a match are the last; a state is kept as its place in the transition array
+        order = np.argsort(self.all.accepts > 0, kind="stable")
+        name = np.argsort(order, kind="stable")
+        self.step = (name[self.all.next[order]] * 256).astype(np.intp).ravel()
+        self.accepts = self.all.accepts[order]
+        self.found = int((self.accepts == 0).sum()) * 256
+        self.listed = self.step.tolist()
+        assert self.found and not order[0]
 
     def flagged(self, buf: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
         """(first, end, bits) of the streams in which some rule came up. at: where texts begin, and the end."""
@@ -75,14 +78,29 @@ class Scanner:
         size = np.diff(np.append(first, len(buf)))
         order = np.argsort(-size, kind="stable")
         first, size = first[order], size[order]
-        state, seen = np.zeros(len(first), np.int32), np.zeros(len(first), np.uint16)
-        active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
+        state, seen = np.zeros(len(first), np.intp), np.zeros(len(first), np.intp)
+        steps = min(int(size[0]), 4 * STREAM)
+        active = np.searchsorted(-size, -np.arange(1, steps + 1), "right")
         for t, m in enumerate(active.tolist()):
-            now = self.step[state[:m] + buf[first[:m] + t]]
-            state[:m] = now
-            seen[:m] |= self.bits[now]
-        hit = np.flatnonzero(seen)
-        return [(int(first[i]), int(first[i] + size[i]), int(seen[i])) for i in hit]
+            at_t = state[:m]
+            np.take(self.step, at_t + buf.take(first[:m] + t), out=at_t, mode="clip")
+            np.maximum(seen[:m], at_t, out=seen[:m])
+        for i in range(int(np.searchsorted(-size, -steps, "left"))):  # the few without a place to cut
+            now, most, step = int(state[i]), int(seen[i]), self.listed
+            for b in buf[first[i] + steps : first[i] + size[i]].tobytes():
+                now = step[now + b]
+                most = max(most, now)
+            seen[i] = most
+        hit = np.flatnonzero(seen >= self.found)
+        return [(int(first[i]), int(first[i] + size[i]), self.bits(buf[first[i] : first[i] + size[i]].tobytes())) for i in hit]
+
+    def bits(self, data: bytes) -> int:
+        state, out = 0, 0
+        for b in data:
+            state = self.listed[state + b]
+            if state >= self.found:
+                out |= int(self.accepts[state >> 8])
+        return out
 
     def spans(self, data: bytes, a: int, b: int, bits: int) -> list[tuple[int, int, int]]:
         """(start, end, rule) within a stream, as places in data."""
