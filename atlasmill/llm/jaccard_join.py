@@ -303,7 +303,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     votes = met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
     tries = votes.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
     left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
-    tries = tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long")
+    tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
     links = ws.save(_links(tries, texts, classes, k, percent), "links")
 
     roots = ws.save(components(ws, links), "roots")
@@ -320,7 +320,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     meets = span.alias("s").join(span.alias("t"), (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & (F.col("t.lo") * percent <= F.col("s.hi") * 100)).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
     large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk")
     block = small.unionByName(large).join(classes.select("ent", "bits"), "ent")
-    rest = block.groupBy("tile", "p", "q").applyInArrow(_within(percent), "a long, b long").unionByName(pairs2).distinct()
+    rest = ws.save(block.groupBy("tile", "p", "q").applyInArrow(_within(percent), "a long, b long").unionByName(pairs2).distinct(), "rest")
     more = ws.save(links.unionByName(_links(rest, texts, classes, k, percent)), "more")
     if more.count() > links.count():
         roots = components(ws, more)

@@ -81,7 +81,9 @@ def words(run: list[bytes], gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.nda
 
 def combine(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k words."""
-    out = np.zeros(max(0, len(h) - k + 1), U64)
+    if len(h) < k:
+        return np.empty(0, U64)
+    out = np.zeros(len(h) - k + 1, U64)
     for j in range(k):
         out += h[j : len(h) - k + 1 + j] * _WEIGHTS[j]
     return mix(out)
