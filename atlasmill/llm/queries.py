@@ -10,7 +10,10 @@ MODULES = {
     "op2_jaccard_join": "jaccard_join",
     "op3_token_counts": "token_counts",
     "op4_secret_scans": "secrets",
+    "op5_chat_formatting": "chat",
     "op8_packing": "packing",
+    "op9_fingerprints": "imatch",
+    "op10_decontamination": "decontaminate",
 }
 
 
@@ -19,4 +22,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from atlasmill.llm import chat
+
+    return {"op5_chat_formatting": chat.SQL}
