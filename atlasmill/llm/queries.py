@@ -11,6 +11,8 @@ MODULES = {
     "op3_token_counts": "token_counts",
     "op4_secret_scans": "secrets",
     "op5_chat_formatting": "chat",
+    "op6_html_extraction": "html_text",
+    "op7_substring_dedup": "substring_dedup",
     "op8_packing": "packing",
     "op9_fingerprints": "imatch",
     "op10_decontamination": "decontaminate",
@@ -18,10 +20,14 @@ MODULES = {
 
 
 def queries() -> dict:
-    return {name: getattr(import_module(f"atlasmill.llm.{module}"), name) for name, module in MODULES.items()}
+    import corpus_pipeline
+
+    return {name: getattr(import_module(f"atlasmill.llm.{module}"), name) for name, module in MODULES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
+    import corpus_pipeline
     from atlasmill.llm import chat
 
-    return {"op5_chat_formatting": chat.SQL}
+    sql = {"op5_chat_formatting": chat.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: text for name, text in sql.items() if text}

@@ -185,6 +185,28 @@ def find_secrets(spark: SparkSession, docs: DataFrame, rules: tuple[Rule, ...] =
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("secret_spans", out)]))
 
 
+def redact(spark: SparkSession, docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """docs with each stretch of text that spans cover replaced by <kind> of the first of them; other texts as they are."""
+    prepare(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = scanner(rules)
+        for b in batches:
+            texts = b.column(text_col).to_pylist()
+            for i, spans in enumerate(s.scan(texts)):
+                if spans:
+                    out, at = [], 0
+                    for x, y, k in spans:
+                        if x >= at:
+                            out += [texts[i][at:x], f"<{rules[k].kind}>"]
+                        at = max(at, y)
+                    texts[i] = "".join(out) + texts[i][at:]
+            cols = [pa.array(texts, pa.string()) if n == text_col else c for n, c in zip(b.schema.names, b.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _is(kind: str):
     return lambda x: x.kind == kind
 
