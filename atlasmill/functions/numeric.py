@@ -48,12 +48,12 @@ def geohash(lon: Column, lat: Column, precision: int = 6) -> Column:
 
 def days(t1: Column, t2: Column) -> Column:
     """Whole days elapsed, floored; not calendar days."""
-    return F.floor((F.unix_micros(t2) - F.unix_micros(t1)) / 86_400_000_000)
+    return F.floor((F.unix_micros(t2.cast("timestamp")) - F.unix_micros(t1.cast("timestamp"))) / 86_400_000_000)
 
 
 def years_tenths(t1: Column, t2: Column) -> Column:
     """Elapsed years in tenths, 0 to 100, half to even."""
-    years = (F.unix_micros(t2) - F.unix_micros(t1)) / (365.25 * 86_400_000_000.0)
+    years = (F.unix_micros(t2.cast("timestamp")) - F.unix_micros(t1.cast("timestamp"))) / (365.25 * 86_400_000_000.0)
     return clip(F.bround(years * 10), 0, 100).cast("int")
 
 

@@ -17,3 +17,12 @@ def session(master: str | None = None, partitions: int | None = None, name: str
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def prepare(spark: SparkSession) -> None:
+    """Executors' Python finds this package where the driver found it, if no PYTHONPATH says so."""
+    from pathlib import Path
+
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", ""):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
