@@ -18,7 +18,7 @@ import regex
 #: Fixed value: the pre-tokeniser of byte-level BPE files that say "use_regex", with white space as Unicode has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Parts that a worker's cache holds of each generation; the older of two is dropped, so memory is bounded.
-HELD = 350_000
+HELD = 150_000
 
 
 def byte_letters() -> dict[str, int]:

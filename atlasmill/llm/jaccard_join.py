@@ -6,13 +6,14 @@ share a prefix shingle make a tile, cut into size bands: only sizes that the thr
 bitmaps of 2 to 4 bits a shingle bound the overlap from above: each bit set in one bitmap alone stands for a shingle that
 the other set lacks. Pairs that the bound lets through are intersected exactly, as sorted arrays.
 
-Pairs are never expanded within groups of copies. First every class is tried against one centre, the tile partner that
-shares most prefix shingles with it; then only pairs of a tile whose classes are still in different components are tried. So no link that
-could join two components is left out, and a group of g copies costs about g tests.
+Pairs are never expanded within groups of copies. First every class is tried against a few
+partners in its tiles (a centre and neighbours, those that share most prefix shingles); then only pairs of a tile whose classes
+are still in different components, the likeliest first, then all that are left. So no link that could join two components is left out, and a
+group of g copies costs a few times g tests.
 
 Defined results: null and empty texts have an empty set, no links, and are their own component; repeated rows and equal
-texts share a class; columns other than id and text are ignored. Rows with a null id take part and keep a null id, but
-name no component unless nothing else does. Shingles are compared by 64-bit hashes.
+texts share a class; columns other than id and text are ignored. A row with a null id keeps it; it is in the
+component of texts equal to it, but a text that only such rows have has no links. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from atlasmill.llm.workspace import Workspace, partitions, table
 COMMON = 1000
 #: Members of a tile that one task compares at a time, and prefix entries that one task sorts.
 BLOCK, BUCKET = 2048, 400_000
+#: Neighbours in the order of class keys that each member of a tile is voted for besides the centre; partners tried first.
+RING, TRIES = 3, 4
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -106,7 +109,10 @@ def _describe(k: int, common: int):
 
 
 def _prefixes(k: int, percent: int, hot, buckets: int):
-    """Entries (shingle, class, size) of every class's prefix, as columns in one blob a bucket; each class once a partition."""
+    """Entries (shingle, class, size) of every class's prefix, as columns in one blob a bucket; each class once a partition.
+
+    Of a shingle's hash, 32 bits beside the bucket suffice here: a collision only makes a tile larger.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = np.frombuffer(hot.value, np.uint64)
@@ -123,7 +129,7 @@ def _prefixes(k: int, percent: int, hot, buckets: int):
             h, ent, n, to = h[order], ent[order], n[order], to[order]
             cut = np.flatnonzero(np.diff(to, prepend=-1))
             ends = [*cut[1:], len(to)]
-            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", h), ("ent", ent), ("n", n))})
+            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", (h >> np.uint64(32)).astype(np.uint32)), ("ent", ent), ("n", n))})
 
         for batch in batches:
             for s in shingle_sets(batch.column("text").to_pylist(), k):
@@ -149,7 +155,7 @@ def _tiles(percent: int):
     """Of a bucket's entries: kind 0 (centre, class, shared prefix shingles), kind 1 (tile, class, size) of tiles of three or more."""
 
     def run(group: pa.Table) -> pa.Table:
-        h, ent, n = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint64), ("ent", np.int64), ("n", np.int32)))
+        h, ent, n = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32)))
         order = np.lexsort((ent, n, h))
         h, ent, n = h[order], ent[order], n[order]
         new = np.ones(len(h), bool)
@@ -174,6 +180,10 @@ def _tiles(percent: int):
                 c = e[i:j].min()
                 centre.append(np.full(j - i, c))
                 other.append(e[i:j])
+                ring = np.sort(e[i:j])
+                for gap in range(1, min(RING, j - i - 1) + 1):
+                    centre.append(ring[:-gap])
+                    other.append(ring[gap:])
                 if left is not None:
                     centre.append(np.minimum(left, c).reshape(1))
                     other.append(np.maximum(left, c).reshape(1))
@@ -197,34 +207,68 @@ def _tiles(percent: int):
     return run
 
 
-def _within(percent: int):
-    """Of one block of a tile or two: pairs of different components that sizes and bitmaps allow."""
-
-    def run(group: pa.Table) -> pa.Table:
-        n = group.column("n").to_numpy()
-        order = np.argsort(n, kind="stable")
-        n = n[order]
-        ent, comp, blk = (group.column(c).to_numpy()[order] for c in ("ent", "comp", "blk"))
-        bits = group.column("bits").to_pylist()
-        rows = [np.frombuffer(bits[i], np.uint8) for i in order]
-        width = np.array([len(r) for r in rows])
-        two = len(np.unique(blk)) > 1
-        a, b = [], []
-        starts = {int(w): (int(np.argmax(width == w)), np.stack([r for r in rows if len(r) == w])) for w in np.unique(width)}
-        for i in range(len(n)):
-            end = int(np.searchsorted(n, int(n[i]) * 100 // percent, "right"))
-            for w, (at, stack) in starts.items():  # widths follow sizes, so each is one run
-                lo, hi = max(i + 1, at), min(end, at + len(stack))
-                if lo < hi:
-                    far = np.flatnonzero((comp[lo:hi] != comp[i]) & ((blk[lo:hi] != blk[i]) | (not two)))
-                    if len(far):
-                        size = int(min(w, width[i]))
-                        bound = overlap_bound(n[lo:hi][far], int(n[i]), fold(stack[lo - at : hi - at][far], size), fold(rows[i][None, :], size)[0])
-                        ok = lo + far[enough(bound, n[lo:hi][far], int(n[i]), percent)]
+def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bits: list[bytes], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of one block of a tile or two, by size: pairs of different components that sizes and bitmaps allow, a batch at a time."""
+    rows = [np.frombuffer(x, np.uint8) for x in bits]
+    width = np.array([len(r) for r in rows])
+    two = len(np.unique(blk)) > 1
+    starts = {int(w): (int(np.argmax(width == w)), np.stack([r for r in rows if len(r) == w])) for w in np.unique(width)}
+    a, b, bounds, size = [], [], [], 0
+
+    def take():
+        x, y = np.concatenate(a), np.concatenate(b)
+        return pa.record_batch({"a": np.minimum(x, y), "b": np.maximum(x, y), "bound": np.concatenate(bounds)})
+
+    for i in range(len(n)):
+        end = int(np.searchsorted(n, int(n[i]) * 100 // percent, "right"))
+        for w, (at, stack) in starts.items():  # widths follow sizes, so each is one run
+            lo, hi = max(i + 1, at), min(end, at + len(stack))
+            if lo < hi:
+                far = np.flatnonzero((comp[lo:hi] != comp[i]) & ((blk[lo:hi] != blk[i]) | (not two)))
+                if len(far):
+                    least = int(min(w, width[i]))
+                    bound = overlap_bound(n[lo:hi][far], int(n[i]), fold(stack[lo - at : hi - at][far], least), fold(rows[i][None, :], least)[0])
+                    good = enough(bound, n[lo:hi][far], int(n[i]), percent)
+                    if good.any():
+                        ok = lo + far[good]
                         a.append(np.full(len(ok), ent[i]))
                         b.append(ent[ok])
-        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                        bounds.append((1000 * bound[good]) // (n[ok] + n[i]))
+                        size += len(ok)
+                        if size > 50_000:
+                            yield take()
+                            a, b, bounds, size = [], [], [], 0
+    if size:
+        yield take()
+
+
+def _within(percent: int):
+    """Rows of a partition, sorted by (tile, p, q, n): one block or pair of blocks after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def close():
+            if held:
+                ent, n, comp, blk = (np.concatenate([h[c] for h in held]) for c in range(4))
+                yield from _pairs(ent, n, comp, blk, [x for h in held for x in h[4]], percent)
+
+        for t in batches:
+            k = [t.column(c).to_numpy() for c in ("tile", "p", "q")]
+            cols = [t.column(c).to_numpy().copy() for c in ("ent", "n", "comp", "blk")]
+            bits = t.column("bits").to_pylist()
+            edge = np.zeros(len(bits), bool)
+            for x in k:
+                edge[1:] |= x[1:] != x[:-1]
+            cut = np.flatnonzero(edge)
+            for s, e in zip([0, *cut], [*cut, len(bits)], strict=True):
+                if s < e:
+                    now = tuple(int(x[s]) for x in k)
+                    if now != key:
+                        yield from close()
+                        key, held = now, []
+                    held.append((*[c[s:e] for c in cols], bits[s:e]))
+        yield from close()
 
     return run
 
@@ -243,10 +287,27 @@ def _allowed(percent: int):
     return run
 
 
-def _sets(k: int):
+ASKED_BITS = 22
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A Bloom filter of fixed size of the ids of a partition."""
+    flags = np.zeros(1 << ASKED_BITS, np.uint8)
+    for t in batches:
+        flags[(mix(t.column("rep").to_numpy().astype(np.uint64)) >> np.uint64(64 - ASKED_BITS)).astype(np.int64)] = 1
+    yield pa.record_batch({"f": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+
+def _sets(k: int, asked):
+    """(id, set) of the texts whose ids may be asked for; the join with those that are follows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.unpackbits(np.frombuffer(asked.value, np.uint8))
         for t in batches:
-            yield pa.record_batch({"ent": t.column("ent"), "s": pa.array([s.tobytes() for s in shingle_sets(t.column("text").to_pylist(), k)], pa.binary())})
+            t = t.filter(t.column("id").is_valid())
+            keep = flags[(mix(t.column("id").to_numpy().astype(np.uint64)) >> np.uint64(64 - ASKED_BITS)).astype(np.int64)] == 1
+            t = t.filter(pa.array(keep))
+            yield pa.record_batch({"id": t.column("id"), "s": pa.array([s.tobytes() for s in shingle_sets(t.column("text").to_pylist(), k)], pa.binary())})
 
     return run
 
@@ -276,12 +337,16 @@ def _intersect(percent: int):
 SALTS = 16
 
 
-def _links(pairs: DataFrame, texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets meet the threshold. Each set is made once from the text of one row of its class."""
     roles = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
     roles = roles.select("a", "salt", F.lit(1).alias("part"), "b").unionByName(roles.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("part"), F.col("a").alias("b")))
-    need = roles.select(F.col("b").alias("ent")).distinct().join(reps.select("ent", "rep"), "ent")
-    sets = texts.join(need, texts.id == need.rep).select("ent", "text").dropDuplicates(["ent"]).mapInArrow(_sets(k), "ent long, s binary")
+    need = ws.save(roles.select(F.col("b").alias("ent")).distinct().join(reps.where("rep IS NOT NULL").select("ent", "rep"), "ent"), "asked")
+    asked = np.zeros(1 << (ASKED_BITS - 3), np.uint8)
+    for (x,) in need.select("rep").coalesce(8).mapInArrow(_ask, "f binary").collect():
+        asked |= np.frombuffer(x, np.uint8)
+    sets = texts.mapInArrow(_sets(k, texts.sparkSession.sparkContext.broadcast(asked.tobytes())), "id long, s binary")
+    sets = sets.join(need, F.col("id") == F.col("rep")).select("ent", "s").dropDuplicates(["ent"])
     given = roles.join(sets, roles.b == sets.ent).select("a", "salt", "part", "b", "s")
     return given.repartition("a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(_intersect(percent), "u long, v long")
 
@@ -301,10 +366,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     met = ws.save(blobs.groupBy("bucket").applyInArrow(_tiles(percent), "kind int, a long, b long, n long"), "tiles")
 
     votes = met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    tries = votes.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+    tries = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
     left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
     tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
-    links = ws.save(_links(tries, texts, classes, k, percent), "links")
+    links = ws.save(_links(ws, tries, texts, classes, k, percent), "links")
 
     roots = ws.save(components(ws, links), "roots")
     pairs2 = votes.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
@@ -320,10 +385,20 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     meets = span.alias("s").join(span.alias("t"), (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & (F.col("t.lo") * percent <= F.col("s.hi") * 100)).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
     large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk")
     block = small.unionByName(large).join(classes.select("ent", "bits"), "ent")
-    rest = ws.save(block.groupBy("tile", "p", "q").applyInArrow(_within(percent), "a long, b long").unionByName(pairs2).distinct(), "rest")
-    more = ws.save(links.unionByName(_links(rest, texts, classes, k, percent)), "more")
-    if more.count() > links.count():
-        roots = components(ws, more)
+    pairs2 = pairs2.withColumn("bound", F.lit(0).cast("long"))
+    block = block.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
+    rest = block.mapInArrow(_within(percent), "a long, b long, bound long").unionByName(pairs2)
+    rest = ws.save(rest.groupBy("a", "b").agg(F.max("bound").alias("bound")), "rest")
+    # the likeliest partner of each in each other component first, then all pairs that are still apart
+    for last in (False, True):
+        named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
+        apart = rest.join(named[0], "a", "left").join(named[1], "b", "left").select("a", "b", "bound", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
+        if not last:
+            likely = [apart.groupBy(x, f"r{y}").agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")]
+            apart = likely[0].unionByName(likely[1]).distinct()
+        apart = ws.save(apart.select("a", "b"), "apart")
+        links = ws.save(links.unionByName(_links(ws, apart, texts, classes, k, percent)), "more")
+        roots = ws.save(components(ws, links), "roots")
 
     linked = classes.where("n > 0").select("ent", "rep").join(roots, F.col("ent") == roots.node, "left").select("ent", "rep", F.coalesce("root", "ent").alias("comp"))
     named = linked.groupBy("comp").agg(F.min("rep").alias("component_id")).join(linked, "comp").select("ent", "component_id")
