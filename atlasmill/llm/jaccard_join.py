@@ -397,8 +397,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
             likely = [apart.groupBy(x, f"r{y}").agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")]
             apart = likely[0].unionByName(likely[1]).distinct()
         apart = ws.save(apart.select("a", "b"), "apart")
-        links = ws.save(links.unionByName(_links(ws, apart, texts, classes, k, percent)), "more")
-        roots = ws.save(components(ws, links), "roots")
+        more = ws.save(_links(ws, apart, texts, classes, k, percent), "more")
+        if not more.isEmpty():  # the roots so far stand for the links so far
+            links = more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+            roots = ws.save(components(ws, links), "roots")
 
     linked = classes.where("n > 0").select("ent", "rep").join(roots, F.col("ent") == roots.node, "left").select("ent", "rep", F.coalesce("root", "ent").alias("comp"))
     named = linked.groupBy("comp").agg(F.min("rep").alias("component_id")).join(linked, "comp").select("ent", "component_id")
