@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlasmill.operators.lookup import first_wins, latest, require, wide
 from atlasmill.plans.registry import query
 from atlasmill.session import table
 
-SOURCE = F.when(F.col("p_size") % 3 == 0, "matched").when(F.col("p_size") % 3 == 1, "osm").otherwise("overture")
+def _source() -> Column:
+    return F.when(F.col("p_size") % 3 == 0, "matched").when(F.col("p_size") % 3 == 1, "osm").otherwise("overture")
+
+
+
 SOURCE_SQL = "CASE p_size % 3 WHEN 0 THEN 'matched' WHEN 1 THEN 'osm' ELSE 'overture' END"
 
 
@@ -32,7 +36,7 @@ def s2_union_by_name(spark: SparkSession, d: str) -> DataFrame:
   SELECT p_type AS label, count(*) FILTER (WHERE s = 'matched') AS matched, count(*) FILTER (WHERE s = 'osm') AS osm, count(*) FILTER (WHERE s = 'overture') AS overture
   FROM (SELECT p_type, {SOURCE_SQL} AS s FROM part) GROUP BY p_type)""")
 def a2_label_by_source(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "part").select(F.col("p_type").alias("label"), SOURCE.alias("source"))
+    rows = table(spark, d, "part").select(F.col("p_type").alias("label"), _source().alias("source"))
     out = rows.groupBy("label").pivot("source", ["matched", "osm", "overture"]).count().na.fill(0)
     total = F.col("matched") + F.col("osm") + F.col("overture")
     return out.select("label", "matched", "osm", "overture", total.alias("total"), F.round(100.0 * F.col("matched") / total, 1).alias("match_pct"))
