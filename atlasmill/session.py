@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="atlasmill-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
 def prepare(spark: SparkSession) -> None:
     """Executors' Python finds this package where the driver found it, if no PYTHONPATH says so."""
     from pathlib import Path
