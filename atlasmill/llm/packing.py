@@ -12,6 +12,7 @@ columns are ignored. A partition's result depends on its rows in their order alo
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ class Ids(bpe.Parts):
 
         v = bpe.vocabulary(path)
         core = tiktoken.Encoding("vocabulary", pat_str=r"\S+|\s+", mergeable_ranks=v.ids, special_tokens={})._core_bpe
-        super().__init__(v, lambda b: np.array(core.encode_single_piece(b), "<u4").tobytes(), b"".join)
+        super().__init__(v, lambda b: struct.pack(f"<{len(x := core.encode_single_piece(b))}I", *x), b"".join)
 
     def special(self, name: str):
         return self.vocab.special[name].to_bytes(4, "little")
