@@ -133,11 +133,12 @@ def d15_ghosts(spark: SparkSession, d: str) -> DataFrame:
     return history.ghosts(v, "user_id", ["ts", "event_id"]).select("event_id", "event_type", F.col("prior_name").alias("prior"))
 
 
-@query("""WITH b AS (SELECT user_id AS id, event_id AS version FROM events WHERE event_id % 4 < 2 AND event_id < 5000), w AS (SELECT user_id AS id, event_id AS version FROM events WHERE event_id >= 4000), k AS (SELECT id, max(version) AS m FROM b GROUP BY id)
+@query("""WITH b AS (SELECT user_id AS id, event_id AS version FROM events WHERE event_type IN ('signup', 'view')), w AS (SELECT user_id AS id, event_id AS version FROM events), k AS (SELECT id, max(version) AS m FROM b GROUP BY id)
  SELECT * FROM b UNION ALL SELECT w.id, w.version FROM w LEFT JOIN k ON w.id = k.id WHERE m IS NULL OR w.version > m""")
 def d18_roll_forward(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("version"))
-    return history.roll_forward(e.where("version % 4 < 2 AND version < 5000"), e.where("version >= 4000").unionByName(e.where("version >= 4500")), ["id"])
+    e = table(spark, d, "events")
+    told = lambda df: df.select(F.col("user_id").alias("id"), F.col("event_id").alias("version"))
+    return history.roll_forward(told(e.where("event_type IN ('signup', 'view')")), told(e).unionByName(told(e.where("event_type = 'click'"))), ["id"])
 
 
 @query("""WITH d AS (SELECT l_returnflag AS state, day, sum(x) AS x FROM (SELECT l_returnflag, l_shipdate::DATE AS day, 1 AS x FROM lineitem UNION ALL SELECT l_returnflag, (l_shipdate + INTERVAL 1 DAY * l_quantity::INT)::DATE, -1 FROM lineitem) GROUP BY 1, 2)
@@ -172,10 +173,9 @@ def fs8_fs10_identifiers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", text.website("url").alias("site"), text.phone(F.concat("url", F.col("page_id").cast("string"), F.lit("5550001234"))).alias("phone"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 60)), '\\s+', ' ', 'g')) AS name, 'osm:' || left(lower(lang), 1) || doc_id::VARCHAR AS key, trim(regexp_replace(regexp_replace(lower(substr(text, 1, 60)), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS market FROM documents")
+@query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) AS name, 'osm:' || left(lower(p_brand), 1) || p_partkey::VARCHAR AS key, trim(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) AS market FROM part")
 def fs1_fs12_fs13_names(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substring("text", 1, 60)
-    return table(spark, d, "documents").select("doc_id", text.matcher_name(head).alias("name"), text.osm_key("lang", "doc_id").alias("key"), text.market_name(head).alias("market"))
+    return table(spark, d, "part").select("p_partkey", text.matcher_name("p_name").alias("name"), text.osm_key("p_brand", "p_partkey").alias("key"), text.market_name("p_name").alias("market"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, floor((epoch_us(TIMESTAMP '1999-01-01') - epoch_us(l_shipdate)) / 86400000000)::BIGINT AS days, least(100, greatest(0, round_even((epoch_us(TIMESTAMP '1999-01-01') - epoch_us(l_shipdate)) / (365.25 * 86400000000.0) * 10, 0)))::INT AS tenths FROM lineitem")
@@ -215,16 +215,17 @@ def d28_m2_hazards(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(p("breakpoint", a, b, {"rate1": 0.2, "rate2": 0.05, "at": 1.5}), 8).alias("broken"), F.round(p("weibull", a, b, {"shape": 1.2, "scale": 6.0}, 0.1), 8).alias("weibull"), F.round(p("lomax", a, b, {"shape": 0.8, "scale": 4.0}), 8).alias("lomax"))
 
 
-@query("""WITH r AS (SELECT o_orderkey AS rid, CASE WHEN o_orderkey % 3 = 0 THEN ['a' || (o_orderkey // 2)::VARCHAR] ELSE ['b' || o_orderkey::VARCHAR] END AS keys FROM orders WHERE o_orderkey < 400),
- g AS (SELECT source_key, unified_id, o_orderkey AS minted FROM (SELECT 'a' || o_orderkey::VARCHAR AS source_key, 'u' || o_orderkey::VARCHAR AS unified_id, o_orderkey FROM orders WHERE o_orderkey < 150 UNION ALL SELECT 'b' || o_orderkey::VARCHAR, 'u' || o_orderkey::VARCHAR, o_orderkey FROM orders WHERE o_orderkey < 200 AND o_orderkey >= 150)),
+@query("""WITH r AS (SELECT o_orderkey AS rid, CASE WHEN o_orderpriority = '1-URGENT' THEN ['a' || (o_orderkey // 2)::VARCHAR] ELSE ['b' || o_orderkey::VARCHAR] END AS keys FROM orders),
+ g AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 'a' ELSE 'b' END || o_orderkey::VARCHAR AS source_key, 'u' || o_orderkey::VARCHAR AS unified_id, o_orderkey AS minted FROM orders),
  e AS (SELECT rid, unified_id, minted FROM (SELECT rid, unnest(keys) AS k FROM r) JOIN g ON k = source_key),
  t AS (SELECT rid, unified_id FROM (SELECT *, row_number() OVER (PARTITION BY unified_id ORDER BY rid) AS n FROM e) WHERE n = 1)
  SELECT r.rid, coalesce(t.unified_id, md5(r.rid::VARCHAR)) AS unified_id, t.unified_id IS NOT NULL AS carried FROM r LEFT JOIN t ON r.rid = t.rid""")
 def d20_stable_ids(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("rid")).where("rid < 400")
-    key = F.when(F.col("rid") % 3 == 0, F.concat(F.lit("a"), F.floor(F.col("rid") / 2).cast("string"))).otherwise(F.concat(F.lit("b"), F.col("rid").cast("string")))
-    reg = o.where("rid < 200").select(F.concat(F.when(F.col("rid") < 150, "a").otherwise("b"), F.col("rid").cast("string")).alias("source_key"), F.concat(F.lit("u"), F.col("rid").cast("string")).alias("unified_id"), F.format_string("%09d", "rid").alias("id_minted"), F.lit("r1").alias("last_release"))
-    ids, _ = conflate.stable_ids(spark, o.withColumn("keys", F.array(key)), reg, F.md5(F.col("rid").cast("string")))
+    o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "rid")
+    own, half = F.col("rid").cast("string"), F.floor(F.col("rid") / 2).cast("string")
+    key = F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("a"), half)).otherwise(F.concat(F.lit("b"), own))
+    reg = o.select(F.concat(F.when(F.col("o_orderstatus") == "F", "a").otherwise("b"), own).alias("source_key"), F.concat(F.lit("u"), own).alias("unified_id"), F.format_string("%015d", "rid").alias("id_minted"), F.lit("r1").alias("last_release"))
+    ids, _ = conflate.stable_ids(spark, o.select("rid", F.array(key).alias("keys")), reg, F.md5(F.col("rid").cast("string")))
     return ids
 
 

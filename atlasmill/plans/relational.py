@@ -279,10 +279,11 @@ def u5_set_operations(spark: SparkSession, d: str) -> DataFrame:
     return new.subtract(old).select(F.lit("added").alias("change"), "k").unionByName(new.intersect(old).select(F.lit("kept").alias("change"), "k"))
 
 
-@query("SELECT k, version, part FROM (SELECT *, min(part) OVER (PARTITION BY k) AS m FROM (SELECT o_custkey AS k, o_orderkey AS version, 0 AS part FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_custkey, o_orderkey, 1 FROM orders WHERE o_orderkey % 2 = 0)) WHERE part = m")
+@query("SELECT k, version, part FROM (SELECT *, min(part) OVER (PARTITION BY k) AS m FROM (SELECT o_custkey AS k, o_orderkey AS version, 0 AS part FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, o_orderkey, 1 FROM orders WHERE o_orderstatus <> 'F')) WHERE part = m")
 def u3_first_wins(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("version"))
-    return first_wins([o.where("version % 3 = 0").withColumn("part", F.lit(0)), o.where("version % 2 = 0").withColumn("part", F.lit(1))], ["k"])
+    o = table(spark, d, "orders")
+    part = lambda status, n: o.where(status).select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("version"), F.lit(n).alias("part"))
+    return first_wins([part("o_orderstatus = 'F'", 0), part("o_orderstatus <> 'F'", 1)], ["k"])
 
 
 @query("SELECT DISTINCT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")
