@@ -35,6 +35,8 @@ from atlasmill.llm.workspace import Workspace, partitions, table
 COMMON = 1000
 #: Members of a tile that one task compares at a time, and prefix entries that one task sorts.
 BLOCK, BUCKET = 2048, 400_000
+#: Tiles of more members, if they are in different components, are compared by short shingles besides bitmaps.
+WIDE = 128
 #: Neighbours in the order of class keys that each member of a tile is voted for besides the centre; partners tried first.
 RING, TRIES = 3, 4
 
@@ -108,8 +110,12 @@ def _describe(k: int, common: int):
     return run
 
 
+#: Places in a prefix are told apart to one part in so many, rounded towards its start.
+PLACES = 256
+
+
 def _prefixes(k: int, percent: int, hot, buckets: int):
-    """Entries (shingle, class, size) of every class's prefix, as columns in one blob a bucket; each class once a partition.
+    """Entries (shingle, class, size, place) of every class's prefix, as columns in one blob a bucket; each class once a partition.
 
     Of a shingle's hash, 32 bits beside the bucket suffice here: a collision only makes a tile larger.
     """
@@ -123,13 +129,14 @@ def _prefixes(k: int, percent: int, hot, buckets: int):
         def emit():
             h = np.concatenate([x[0] for x in held])
             each = [len(x[0]) for x in held]
+            place = np.concatenate([np.arange(m) * PLACES // m for m in each]).astype(np.uint8)
             ent, n = np.repeat(np.array([x[1] for x in held], np.int64), each), np.repeat(np.array([x[2] for x in held], np.int32), each)
             to = (h % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            h, ent, n, to = h[order], ent[order], n[order], to[order]
+            h, ent, n, place, to = h[order], ent[order], n[order], place[order], to[order]
             cut = np.flatnonzero(np.diff(to, prepend=-1))
             ends = [*cut[1:], len(to)]
-            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", (h >> np.uint64(32)).astype(np.uint32)), ("ent", ent), ("n", n))})
+            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", (h >> np.uint64(32)).astype(np.uint32)), ("ent", ent), ("n", n), ("place", place))})
 
         for batch in batches:
             for s in shingle_sets(batch.column("text").to_pylist(), k):
@@ -151,27 +158,43 @@ def _prefixes(k: int, percent: int, hot, buckets: int):
     return run
 
 
+def reach(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Largest size of a partner whose first shared shingle is at this place of a prefix: no more is shared than what follows."""
+    n = n.astype(np.int64)
+    before = -(-place * (n - -(-n * percent // 100) + 1) // PLACES)
+    return ((100 + percent) * (n - before) - percent * n) // percent
+
+
+def met(h: np.ndarray, n: np.ndarray, most: np.ndarray, percent: int) -> np.ndarray:
+    """Entries, sorted by (shingle, size), that some other entry of their shingle may be linked with as the first one shared."""
+    tile = np.cumsum(np.diff(h, prepend=h[:1]) != 0).astype(np.int64) << 32
+    at, low = tile + n, most >= n  # low: a partner as large as itself is in reach
+    lows = at[low]
+    under = np.searchsorted(lows, tile + np.minimum(n, most), "right") - np.searchsorted(lows, tile - (-n.astype(np.int64) * percent // 100), "left")
+    over = np.searchsorted(at, tile + np.minimum(n.astype(np.int64) * 100 // percent, most), "right") - np.searchsorted(at, at, "left")
+    return (under > low) | (low & (over > 1))
+
+
 def _tiles(percent: int):
     """Of a bucket's entries: kind 0 (centre, class, shared prefix shingles), kind 1 (tile, class, size) of tiles of three or more."""
 
     def run(group: pa.Table) -> pa.Table:
-        h, ent, n = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32)))
-        order = np.lexsort((ent, n, h))
-        h, ent, n = h[order], ent[order], n[order]
+        h, ent, n, place = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32), ("place", np.uint8)))
+        order = np.lexsort((place, ent, n, h))
+        h, ent, n, place = h[order], ent[order], n[order], place[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (ent[1:] != ent[:-1])
-        h, ent, n = h[new], ent[new], n[new]
+        h, ent, n, most = h[new], ent[new], n[new], reach(n[new], place[new].astype(np.int64), percent)
+        keep = met(h, n, most, percent)
+        h, ent, n, most = h[keep], ent[keep], n[keep], most[keep]
         first = np.flatnonzero(np.diff(h, prepend=~h[:1]))
         length = np.diff(np.append(first, len(h)))
-        centre, other, tiles, lists = [], [], [], []
+        two = first[length == 2]
+        two = two[(n[two + 1] <= most[two]) & (n[two] <= most[two + 1])]
+        centre, other, tiles, lists = [np.minimum(ent[two], ent[two + 1])], [np.maximum(ent[two], ent[two + 1])], [], []
         known: set[int] = set()
-        for a, m in zip(first[length > 1], length[length > 1], strict=True):
+        for a, m in zip(first[length > 2], length[length > 2], strict=True):
             e, s = ent[a : a + m], n[a : a + m]
-            if m == 2:
-                if 100 * int(s[0]) >= percent * int(s[1]):
-                    centre.append(e.min(keepdims=True))
-                    other.append(e.max(keepdims=True))
-                continue
             key = xxhash.xxh3_64_intdigest(e.tobytes()) - (1 << 63)
             # size bands: from each band's least size up to 100 / percent times that
             i, left = 0, None
@@ -193,7 +216,7 @@ def _tiles(percent: int):
                 tiles.append(np.full(m, key))
                 lists.append((e, s))
         out = []
-        if centre:
+        if any(map(len, centre)):
             c, o = np.concatenate(centre), np.concatenate(other)
             c, o = c[c != o], o[c != o]
             both, votes = np.unique(np.stack([c, o]), axis=1, return_counts=True)
@@ -207,8 +230,21 @@ def _tiles(percent: int):
     return run
 
 
-def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bits: list[bytes], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of one block of a tile or two, by size: pairs of different components that sizes and bitmaps allow, a batch at a time."""
+def short(s: np.ndarray) -> np.ndarray:
+    """Of each shingle 16 bits that bitmaps of up to 2**16 bits do not use alone; equal ones stay, so the length is the set's size."""
+    return (s >> np.uint64(48)).astype(np.uint16)
+
+
+def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bits: list[bytes], shorts: list[bytes | None], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of one block of a tile or two, by size: pairs of different components that sizes and bitmaps allow, a batch at a time.
+
+    Where all have short shingles, those of a set that the other has too bound the overlap of what the bitmaps let through.
+    """
+    told = all(x is not None for x in shorts)
+    if told:
+        listed = np.frombuffer(b"".join(shorts), np.uint16)
+        ends = np.concatenate(([0], np.cumsum([len(x) // 2 for x in shorts])))
+        has = np.zeros(1 << 16, bool)
     rows = [np.frombuffer(x, np.uint8) for x in bits]
     width = np.array([len(r) for r in rows])
     two = len(np.unique(blk)) > 1
@@ -217,7 +253,7 @@ def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bi
 
     def take():
         x, y = np.concatenate(a), np.concatenate(b)
-        return pa.record_batch({"a": np.minimum(x, y), "b": np.maximum(x, y), "bound": np.concatenate(bounds)})
+        return pa.record_batch({"a": np.minimum(x, y), "b": np.maximum(x, y), "bound": np.concatenate(bounds), "told": np.full(len(x), told)})
 
     for i in range(len(n)):
         end = int(np.searchsorted(n, int(n[i]) * 100 // percent, "right"))
@@ -229,6 +265,14 @@ def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bi
                     least = int(min(w, width[i]))
                     bound = overlap_bound(n[lo:hi][far], int(n[i]), fold(stack[lo - at : hi - at][far], least), fold(rows[i][None, :], least)[0])
                     good = enough(bound, n[lo:hi][far], int(n[i]), percent)
+                    if told and good.any():
+                        own = listed[ends[i] : ends[i + 1]]
+                        has[own] = True
+                        x, y = lo + far[good][0], lo + far[good][-1] + 1
+                        both = np.add.reduceat(has[listed[ends[x] : ends[y]]], ends[x:y] - ends[x], dtype=np.int64)
+                        bound[good] = np.minimum(bound[good], both[lo + far[good] - x])
+                        has[own] = False
+                        good = enough(bound, n[lo:hi][far], int(n[i]), percent)
                     if good.any():
                         ok = lo + far[good]
                         a.append(np.full(len(ok), ent[i]))
@@ -251,12 +295,12 @@ def _within(percent: int):
         def close():
             if held:
                 ent, n, comp, blk = (np.concatenate([h[c] for h in held]) for c in range(4))
-                yield from _pairs(ent, n, comp, blk, [x for h in held for x in h[4]], percent)
+                yield from _pairs(ent, n, comp, blk, [x for h in held for x in h[4]], [x for h in held for x in h[5]], percent)
 
         for t in batches:
             k = [t.column(c).to_numpy() for c in ("tile", "p", "q")]
             cols = [t.column(c).to_numpy().copy() for c in ("ent", "n", "comp", "blk")]
-            bits = t.column("bits").to_pylist()
+            bits, shorts = t.column("bits").to_pylist(), t.column("short").to_pylist()
             edge = np.zeros(len(bits), bool)
             for x in k:
                 edge[1:] |= x[1:] != x[:-1]
@@ -267,7 +311,7 @@ def _within(percent: int):
                     if now != key:
                         yield from close()
                         key, held = now, []
-                    held.append((*[c[s:e] for c in cols], bits[s:e]))
+                    held.append((*[c[s:e] for c in cols], bits[s:e], shorts[s:e]))
         yield from close()
 
     return run
@@ -298,57 +342,74 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch({"f": pa.array([np.packbits(flags).tobytes()], pa.binary())})
 
 
-def _sets(k: int, asked):
-    """(id, set) of the texts whose ids may be asked for; the join with those that are follows."""
+def _sets(k: int, asked, brief: bool):
+    """(class, set) of the texts whose ids may be asked for; the join with those that are follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(np.frombuffer(asked.value, np.uint8))
         for t in batches:
             t = t.filter(t.column("id").is_valid())
             keep = flags[(mix(t.column("id").to_numpy().astype(np.uint64)) >> np.uint64(64 - ASKED_BITS)).astype(np.int64)] == 1
-            t = t.filter(pa.array(keep))
-            yield pa.record_batch({"id": t.column("id"), "s": pa.array([s.tobytes() for s in shingle_sets(t.column("text").to_pylist(), k)], pa.binary())})
+            ent, sets = [], []
+            for s in shingle_sets(t.column("text").filter(pa.array(keep)).to_pylist(), k):
+                ent.append(set_key(s))
+                sets.append((short(s) if brief else s).tobytes())
+            yield pa.record_batch({"ent": pa.array(ent, pa.int64()), "s": pa.array(sets, pa.binary())})
 
     return run
 
 
-def _intersect(percent: int):
+def _intersect(percent: int, brief: bool):
     """Rows of a partition, sorted by (group, salt, part): a centre's set comes right before those tried against it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, centre = None, np.empty(0, np.uint64)
+        at, centre, has = None, np.empty(0, np.uint64), np.zeros(1 << 16, bool)
         for t in batches:
-            u, v = [], []
+            u, v, bound = [], [], []
             for a, salt, part, b, s in zip(*(t.column(c).to_pylist() for c in ("a", "salt", "part", "b", "s")), strict=True):
-                s = np.frombuffer(s, np.uint64)
+                s = np.frombuffer(s, np.uint16 if brief else np.uint64)
                 if part == 0:
+                    has[centre if brief and at else slice(0)] = False
                     at, centre = (a, salt), s
+                    has[centre if brief else slice(0)] = True
                 elif at == (a, salt):
-                    both = np.concatenate([centre, s])
-                    both.sort()
-                    if enough(int((both[1:] == both[:-1]).sum()), len(centre), len(s), percent):
+                    if brief:
+                        shared = int(has[s].sum())
+                    else:
+                        both = np.concatenate([centre, s])
+                        both.sort()
+                        shared = int((both[1:] == both[:-1]).sum())
+                    if enough(shared, len(centre), len(s), percent):
                         u.append(a)
                         v.append(b)
-            yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+                        bound.append(1000 * shared // (len(centre) + len(s)))
+            yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "bound": pa.array(bound, pa.int64())})
 
     return run
 
 
-SALTS = 16
+#: Partners that a centre's set is sent with at a time.
+PARTNERS = 32
 
 
-def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets meet the threshold. Each set is made once from the text of one row of its class."""
-    roles = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
-    roles = roles.select("a", "salt", F.lit(1).alias("part"), "b").unionByName(roles.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("part"), F.col("a").alias("b")))
-    need = ws.save(roles.select(F.col("b").alias("ent")).distinct().join(reps.where("rep IS NOT NULL").select("ent", "rep"), "ent"), "asked")
+def _asked_sets(ws: Workspace, ents: DataFrame, texts: DataFrame, reps: DataFrame, k: int, brief: bool) -> DataFrame:
+    """(ent, s) of the classes asked for, each made once from the text of one row: whole hashes, or 16 bits of each."""
+    need = ws.save(ents.select("ent").distinct().join(reps.where("rep IS NOT NULL").select("ent", "rep"), "ent"), "asked")
     asked = np.zeros(1 << (ASKED_BITS - 3), np.uint8)
     for (x,) in need.select("rep").coalesce(8).mapInArrow(_ask, "f binary").collect():
         asked |= np.frombuffer(x, np.uint8)
-    sets = texts.mapInArrow(_sets(k, texts.sparkSession.sparkContext.broadcast(asked.tobytes())), "id long, s binary")
-    sets = sets.join(need, F.col("id") == F.col("rep")).select("ent", "s").dropDuplicates(["ent"])
+    sets = texts.mapInArrow(_sets(k, texts.sparkSession.sparkContext.broadcast(asked.tobytes()), brief), "ent long, s binary")
+    return sets.dropDuplicates(["ent"])
+
+
+def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k: int, percent: int, brief: bool = False) -> DataFrame:
+    """Pairs (u, v, bound) of classes whose sets, or with brief the short forms of them, meet the threshold."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
+    roles = pairs.select("a", "b").join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("part"), "b")
+    roles = ws.save(roles.unionByName(roles.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("part"), F.col("a").alias("b"))), "roles")
+    sets = _asked_sets(ws, roles.select(F.col("b").alias("ent")), texts, reps, k, brief)
     given = roles.join(sets, roles.b == sets.ent).select("a", "salt", "part", "b", "s")
-    return given.repartition("a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(_intersect(percent), "u long, v long")
+    return given.repartition("a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(_intersect(percent, brief), "u long, v long, bound long")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> DataFrame:
@@ -369,7 +430,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     tries = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
     left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
     tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
-    links = ws.save(_links(ws, tries, texts, classes, k, percent), "links")
+    links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v"), "links")
 
     roots = ws.save(components(ws, links), "roots")
     pairs2 = votes.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
@@ -379,16 +440,24 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     apart = member.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("tile", "members")
     member = member.join(apart, "tile")
     # blocks by size: a member meets its own block and the others of its tile, two at a time
-    small = member.where(F.col("members") <= BLOCK).select("tile", F.lit(0).alias("p"), F.lit(0).alias("q"), "ent", "n", "comp", F.lit(0).alias("blk"))
+    small = member.where(F.col("members") <= BLOCK).select("tile", F.lit(0).alias("p"), F.lit(0).alias("q"), "ent", "n", "comp", F.lit(0).alias("blk"), "members")
     large = member.where(F.col("members") > BLOCK).withColumn("blk", F.floor((F.row_number().over(Window.partitionBy("tile").orderBy("n", "ent")) - 1) / BLOCK).cast("int"))
     span = large.groupBy("tile", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     meets = span.alias("s").join(span.alias("t"), (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & (F.col("t.lo") * percent <= F.col("s.hi") * 100)).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
-    large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk")
-    block = small.unionByName(large).join(classes.select("ent", "bits"), "ent")
-    pairs2 = pairs2.withColumn("bound", F.lit(0).cast("long"))
-    block = block.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
-    rest = block.mapInArrow(_within(percent), "a long, b long, bound long").unionByName(pairs2)
-    rest = ws.save(rest.groupBy("a", "b").agg(F.max("bound").alias("bound")), "rest")
+    large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk", "members")
+    # members of large tiles come with short shingles, as bitmaps alone let most pairs of near copies through
+    wide = member.where(F.col("members") > WIDE).select("ent")
+    shorts = _asked_sets(ws, wide, texts, classes, k, True) if not wide.isEmpty() else wide.withColumn("s", F.lit(None).cast("binary"))
+    block = small.where(F.col("members") <= WIDE).withColumn("short", F.lit(None).cast("binary"))
+    block = block.unionByName(small.where(F.col("members") > WIDE).unionByName(large).join(shorts.withColumnRenamed("s", "short"), "ent", "left").select(block.columns))
+    block = block.drop("members").join(classes.select("ent", "bits"), "ent")
+    block = block.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits", "short").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
+    pairs2 = pairs2.select("a", "b", F.lit(0).cast("long").alias("bound"), F.lit(False).alias("told"))
+    rest = block.mapInArrow(_within(percent), "a long, b long, bound long, told boolean").unionByName(pairs2)
+    rest = ws.save(rest.groupBy("a", "b").agg(F.min(F.when(F.col("told"), F.col("bound"))).alias("bound")), "rest")
+    # pairs that only bitmaps let through are told by short shingles as well
+    vague = _links(ws, rest.where("bound IS NULL").select("a", "b"), texts, classes, k, percent, brief=True)
+    rest = ws.save(rest.where("bound IS NOT NULL").unionByName(vague.toDF("a", "b", "bound")), "close")
     # the likeliest partner of each in each other component first, then all pairs that are still apart
     for last in (False, True):
         named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
@@ -397,7 +466,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
             likely = [apart.groupBy(x, f"r{y}").agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")]
             apart = likely[0].unionByName(likely[1]).distinct()
         apart = ws.save(apart.select("a", "b"), "apart")
-        more = ws.save(_links(ws, apart, texts, classes, k, percent), "more")
+        if apart.isEmpty():
+            break
+        more = ws.save(_links(ws, apart, texts, classes, k, percent).select("u", "v"), "more")
         if not more.isEmpty():  # the roots so far stand for the links so far
             links = more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
             roots = ws.save(components(ws, links), "roots")
