@@ -160,6 +160,40 @@ def test_repeats(spark):
     assert all(r.start <= 70 and r.end >= 110 and r.alike >= 0.75 for r in got)
 
 
+def covered(rows, i):
+    return set().union(*(range(r.start, r.end) for r in rows if r.doc_id == i))
+
+
+def test_repeats_of_parts_seen_before(spark):
+    w = text(60, 800).split()
+    first, second, whole = (" ".join(x) for x in (w[:30], w[30:], w))
+    # the parts come first, and again right before the copy, so neither the first holder nor the one before has the whole
+    texts = {1: first, 2: second, 3: whole, 4: first, 5: second, 6: whole}
+    df = spark.createDataFrame([(i, f"{text(50, 810 + i)} {t} {text(50, 830 + i)}") for i, t in texts.items()], "doc_id long, text string")
+    got = substring_dedup.repeats(spark, df).collect()
+    assert covered(got, 6) >= set(range(50, 110)) and {r.other_doc_id for r in got if r.doc_id == 6} == {3}
+
+
+def test_repeats_against_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    lines = [text(rng.choice((9, 15, 20, 25)), 850 + i) for i in range(6)]
+    texts = [" ".join(rng.choice([*lines, text(rng.randint(1, 12), rng.random())]) for _ in range(rng.randint(3, 12))) for _ in range(60)]
+    words = [t.split() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for group in (substring_dedup.GROUP, 20):  # in one level and in two
+        monkeypatch.setattr(substring_dedup, "GROUP", group)
+        got = substring_dedup.repeats(spark, df).collect()
+        assert all(r.other_doc_id < r.doc_id and r.end - r.start >= 40 and r.alike >= 0.75 for r in got)
+        seen, n = set(), 0
+        for i, w in enumerate(words):
+            runs = [tuple(w[p : p + 40]) for p in range(len(w) - 39)]
+            want = {q for p, r in enumerate(runs) if r in seen for q in range(p, p + 40)}
+            assert want <= covered(got, i)
+            seen.update(runs)
+            n += len(want)
+        assert n > 500
+
+
 def test_chains_against_quadratic():
     rng = np.random.default_rng(1)
     for _ in range(50):
