@@ -194,6 +194,19 @@ def test_repeats_against_brute_force(spark, monkeypatch):
         assert n > 500
 
 
+def test_repeats_with_regular_edits(spark):
+    rows, n = [], 0
+    for every in (7, 8, 10):
+        for k in range(20):
+            w = text(60, 900 + n).split()
+            edited = ["edited" if (j + k) % every == 0 else x for j, x in enumerate(w)]
+            rows += [(n, " ".join(w)), (1000 + n, f"{text(30, 1000 + n)} {' '.join(edited)} {text(30, 1100 + n)}")]
+            n += 1
+    got = substring_dedup.repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in got} == {(1000 + i, i) for i in range(n)}
+    assert all(len(covered(got, 1000 + i) & set(range(30, 90))) >= 50 for i in range(n))
+
+
 def test_chains_against_quadratic():
     rng = np.random.default_rng(1)
     for _ in range(50):
