@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash fingerprints of item-sized windows, found within a Hamming radius, verified exactly.
 
 Words are terms (see shingles), so case and punctuation don't hide a leak. A window that is similar enough shares a shingle with its
-item; so windows are made only around such shingles, one at each start, as long as an item that has one. A window's fingerprint has 64
+item; so windows are made only around such shingles, one at each start, as long as an item that has one; a document shorter than the item is
+one window, whole. A window's fingerprint has 64
 bits, split into blocks: two fingerprints within the radius differ by at most radius // blocks bits in some block, and
 the index holds for each block and value the items that near, so all within the radius are candidates. Those are verified by weighted
 Jaccard over shingle counts; a shingle weighs log(1 + items / items that have it).
@@ -90,10 +91,10 @@ class Items:
             ok = self.keys[at] == s[hit]
             for p, q in zip(hit[ok].tolist(), at[ok].tolist(), strict=True):
                 for size in {int(self.size[i]) for i in self.owner[self.start[q] : self.start[q + 1]] if min(K, self.size[i]) == k}:
-                    spans.setdefault(size, []).append((max(0, p + k - size), min(p, len(h) - size)))
+                    spans.setdefault(size, []).append((max(0, p + k - size), max(0, min(p, len(h) - size))))
         best: dict[int, tuple[float, int]] = {}
-        for size, runs in spans.items():
-            k = min(K, size)
+        for whole, runs in spans.items():
+            k, size = min(K, whole), min(whole, len(h))
             starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in runs]))
             starts = starts if len(starts) else np.arange(0)
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
@@ -102,7 +103,7 @@ class Items:
                 s = by_k[k][run[0] : run[-1] + size - k + 1]
                 prints = simhash(s, self.weight(s), size - k + 1)
                 parts = prints.view(np.uint8).reshape(-1, 8)
-                mask = reduce(np.logical_or, (self.near[b][parts[:, b]] for b in range(BLOCKS))) & (self.size == size)
+                mask = reduce(np.logical_or, (self.near[b][parts[:, b]] for b in range(BLOCKS))) & (self.size == whole)
                 for i, j in np.argwhere(mask):
                     if int(prints[i] ^ self.prints[j]).bit_count() <= RADIUS:
                         sim = self.similarity(s[i : i + size - k + 1], int(j))
@@ -149,7 +150,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thres
                     h, at = words(texts, NOT_TERM)
                     for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
                         if b > a and items.ids:
-                            out += [(ids[first + i], items.ids[j], sim, w, int(items.size[j])) for j, sim, w in items.search(h[a:b], threshold)]
+                            out += [(ids[first + i], items.ids[j], sim, w, min(int(items.size[j]), int(b - a))) for j, sim, w in items.search(h[a:b], threshold)]
                 cols = list(zip(*out, strict=True)) or [[]] * 5
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], names=["id", "item", "similarity", "first_word", "n_words"])
 

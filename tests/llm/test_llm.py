@@ -152,6 +152,15 @@ def test_decontamination(spark):
     assert all(r.similarity >= 0.75 for r in got)
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    w = text(60, 903).split()
+    rows = [(1, " ".join(w[:-1])), (2, " ".join(w[1:])), (3, " ".join(w[:50])), (4, " ".join(w[:30])), (5, " ".join(w[:4]))]
+    items = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    got = decontaminate.find_leaks(spark, spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.first_word, r.n_words) for r in got} == {(1, 0, 59), (2, 0, 59), (3, 0, 50)}
+    assert all(abs(r.similarity - (r.n_words - 4) / 56) < 1e-9 for r in got)
+
+
 def test_repeats(spark):
     passage = text(70, 500)
     rows = [(i, f"{text(60, 600 + i)} {edit(passage, i % 3, i)} {text(40, 700 + i)}") for i in range(8)] + [(20, text(150, 20)), (21, None), (22, ""), (None, passage), (23, text(3, 1))]
