@@ -5,11 +5,11 @@ item; so windows are made only around such shingles, one at each start, as long
 one window, whole. A window's fingerprint has 64
 bits, split into blocks: two fingerprints within the radius differ by at most radius // blocks bits in some block, and
 the index holds for each block and value the items that near, so all within the radius are candidates. Those are verified by weighted
-Jaccard over shingle counts; a shingle weighs log(1 + items / items that have it).
+Jaccard over shingle counts; a shingle weighs log(1 + items / items that have it), both counted over the whole benchmark.
 
 Defined results: null or empty texts and items match nothing; an item under five words is one shingle of all its words; repeated items and
 rows give a row each; a null id stays null; other columns are ignored. Items go to the executors in blocks of at most BLOCK, one pass
-over the documents a block, so what is broadcast is bounded.
+over the documents a block, so what is broadcast of them is bounded; the shingles that several items have go whole, at 16 bytes each.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def simhash(s: np.ndarray, w: np.ndarray, size: int) -> np.ndarray:
 class Items:
     """A block of benchmark items with its index."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], df: dict[int, int], n: int):
+    def __init__(self, rows: list[tuple[int, str | None]], n: int):
         self.ids, self.h = [], []
         for _, run in chunks([t for _, t in rows]):
             h, at = words(run, NOT_TERM)
@@ -55,21 +55,30 @@ class Items:
         self.s = [shingles_of(h) for h in self.h]
         at = np.concatenate([*self.s, np.empty(0, U64)])
         self.keys, place = np.unique(at, return_inverse=True)
-        self.weights = np.array([np.log1p(self.n / df.get(int(k), 1)) for k in self.keys])
         owner = np.repeat(np.arange(len(self.s)), [len(s) for s in self.s])
         order = np.argsort(place, kind="stable")
         self.owner, self.start = owner[order], np.searchsorted(place[order], np.arange(len(self.keys) + 1))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.keys >> U64(44)).astype(np.int64)] = True
         self.sizes = sorted({int(x) for x in np.minimum(self.size, K)}) if len(self.s) else []
+        self.prints: np.ndarray | None = None
+
+    def index(self, common: tuple[np.ndarray, np.ndarray]) -> Items:
+        """With the weights of common shingles, fingerprints and what is near them; made once a worker."""
+        if self.prints is not None:
+            return self
+        self.common, self.weights = common
         self.prints = np.array([simhash(s, self.weight(s), len(s))[0] for s in self.s], U64)
         parts = self.prints.view(np.uint8).reshape(-1, 8)
         apart = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :])
         self.near = np.stack([(apart[:, parts[:, b]] <= RADIUS // BLOCKS) for b in range(BLOCKS)]) if len(self.s) else None
+        return self
 
     def weight(self, s: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
-        return np.where(self.keys[at] == s, self.weights[at], self.rare)
+        if not len(self.common):
+            return np.full(len(s), self.rare)
+        at = np.minimum(np.searchsorted(self.common, s), len(self.common) - 1)
+        return np.where(self.common[at] == s, self.weights[at], self.rare)
 
     def similarity(self, s: np.ndarray, item: int) -> float:
         a, ca = np.unique(s, return_counts=True)
@@ -112,37 +121,48 @@ class Items:
         return [(int(j), sim, at) for j, (sim, at) in sorted(best.items())]
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block: int = BLOCK) -> Iterator[Items]:
-    """The items in blocks, in the order of their ids. Shingle frequencies count the items of the block."""
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, run in chunks(batch.column("t").to_pylist()):
+            h, at = words(run, NOT_TERM)
+            each = [np.unique(shingles_of(h[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.record_batch({"s": pa.array(np.concatenate(each).view(np.int64), pa.int64())})
+
+
+def common_shingles(benchmark: DataFrame, n: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several of the n items have, sorted, and their weights."""
+    rows = benchmark.select(F.col(text_col).cast("string").alias("t")).mapInArrow(_item_shingles, "s long")
+    told = rows.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    keys, has = told.column("s").to_numpy().view(U64), told.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], np.log1p(n / has[order])
+
+
+def item_blocks(benchmark: DataFrame, n: int, item_col: str, text_col: str, block: int) -> Iterator[Items]:
+    """The items in blocks, in the order of their ids, without an index."""
     rows = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).orderBy("i", "t")
     held: list = []
     for r in rows.toLocalIterator():
         held.append((r[0], r[1]))
         if len(held) == block:
-            yield _items(held)
+            yield Items(held, n)
             held = []
     if held:
-        yield _items(held)
-
+        yield Items(held, n)
 
-def _items(rows: list) -> Items:
-    first = Items(rows, {}, len(rows))
-    df: dict[int, int] = {}
-    for s in first.s:
-        for k in np.unique(s).tolist():
-            df[k] = df.get(k, 0) + 1
-    return Items(rows, df, len(rows))
 
-
-def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = BLOCK) -> DataFrame:
     """(id, item, similarity, first_word, n_words) for each row of docs and item that a window of it is similar to."""
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, item long, similarity double, first_word long, n_words long"
 
+    n = benchmark.count()
+    common = spark.sparkContext.broadcast(common_shingles(benchmark, n, item_text))
+
     def passes(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = sent.value
+            items = sent.value.index(common.value)
             for batch in batches:
                 out: list[tuple] = []
                 ids = batch.column("id").to_pylist()
@@ -156,7 +176,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thres
 
         return run
 
-    found = [rows.mapInArrow(passes(spark.sparkContext.broadcast(items)), schema) for items in item_blocks(benchmark, item_col, item_text)]
+    found = [rows.mapInArrow(passes(spark.sparkContext.broadcast(items)), schema) for items in item_blocks(benchmark, n, item_col, item_text, block)]
     out = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
     return out.withColumnsRenamed({"id": id_col, "item": item_col})
 

@@ -161,6 +161,31 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
     assert all(abs(r.similarity - (r.n_words - 4) / 56) < 1e-9 for r in got)
 
 
+def test_decontamination_against_brute_force_in_blocks(spark):
+    stock = [text(14, 910 + i) for i in range(3)]
+    items = [(i, f"{text(16, 920 + i)} {stock[min(i % 5, 2)]}") for i in range(40)]
+    rows = [(i, f"{text(20, 970 + i)} {edit(t, i % 6, i)} {text(10, 1010 + i)}") for i, t in items]
+    rows += [(100 + i, " ".join([*t.split()[: 30 - i % 4], *stock[i % 3].split()[: i % 6]])) for i, t in items] + [(200, None), (201, stock[0])]
+    data = {i: [tuple(w[p : p + 5]) for p in range(len(w) - 4)] for i, w in ((i, t.split()) for i, t in items)}
+    df = collections.Counter(k for s in data.values() for k in set(s))
+    want = {}
+    for d, t in rows:
+        w = (t or "").split()
+        s = [tuple(w[p : p + 5]) for p in range(len(w) - 4)]
+        for i, x in data.items():
+            y = collections.Counter(x)
+            for p in range(max(1, len(s) - len(x) + 1)):
+                z = collections.Counter(s[p : p + len(x)])
+                low, high = (sum(n * np.log1p(40 / max(1, df[k])) for k, n in c.items()) for c in (y & z, y | z))
+                if low / high >= 0.75 and low / high > want.get((d, i), 0):
+                    want[d, i] = low / high
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (decontaminate.BLOCK, 7):
+        got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_leaks(spark, docs, bench, block=block).collect()}
+        assert got == pytest.approx(want)
+    assert len(want) > 40
+
+
 def test_repeats(spark):
     passage = text(70, 500)
     rows = [(i, f"{text(60, 600 + i)} {edit(passage, i % 3, i)} {text(40, 700 + i)}") for i in range(8)] + [(20, text(150, 20)), (21, None), (22, ""), (None, passage), (23, text(3, 1))]
