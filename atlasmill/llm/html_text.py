@@ -6,13 +6,14 @@ part), the blocks inside are its main text, whole: text that copies share on a h
 candidates, and all candidate pages of a host are joined into one token stream; a suffix array finds runs of LONG tokens or more that
 distinct pages share, these are taken out, and the unique runs stay. A page with nothing unique is a copy and keeps its blocks.
 
-A host's pages are dealt into shards of about SHARD pages, so a host of any size is spread; boilerplate, which most pages of a host
-share, is seen in each. Defined results: null and empty html give an empty text; a null url is a host of its own; repeated rows are
+A host's pages are dealt into shards of about SHARD pages, so a host of any size is spread. Shards of a host exchange the hashes of their runs of
+LONG tokens with the least and greatest page that has them, so a run that only pages of different shards share is taken out, too. Defined results: null and empty html give an empty text; a null url is a host of its own; repeated rows are
 treated each, and as one page where they are compared; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atlasmill.llm.shingles import U64, combine
 from atlasmill.llm.workspace import Workspace, table
 
 LONG, SHARD = 6, 1024
@@ -178,14 +180,41 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"page_id": b.column("page_id"), "url": b.column("url"), "host": pa.array(hosts, pa.string()), "text": pa.array(texts, pa.string()), "parts": pa.array(parts, pa.list_(pa.string()))})
 
 
-def _unshared(group: pa.Table) -> pa.Table:
-    parts = group.column("parts").to_pylist()
-    tokens = [[w for p in page for w in p.split(" ")] for page in parts]
+def _hash(x: str) -> int:
+    return int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _streams(group: pa.Table) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of each page; of all tokens as one stream their numbers and pages; and of each place the hash of the run of LONG tokens there."""
+    tokens = [[w for p in page for w in p.split(" ")] for page in group.column("parts").to_pylist()]
     number: dict[str, int] = {}
     stream = np.array([number.setdefault(w, len(number)) for t in tokens for w in t], np.int64)
     ids: dict[tuple, int] = {}
     page = np.repeat([ids.setdefault((i, tuple(t)), len(ids)) for i, t in zip(group.column("page_id").to_pylist(), tokens, strict=True)], [len(t) for t in tokens]).astype(np.int64)
+    return tokens, stream, page, combine(np.array([_hash(w) for w in number], U64)[stream], LONG) if len(stream) else np.empty(0, U64)
+
+
+def _runs(group: pa.Table) -> pa.Table:
+    """Each run of LONG tokens of a shard, with the least and greatest page that has it."""
+    tokens, _, page, run = _streams(group)
+    key = np.repeat(np.array([_hash(f"{i} {' '.join(t)}") for i, t in zip(group.column("page_id").to_pylist(), tokens, strict=True)], U64).view(np.int64), [len(t) for t in tokens])
+    whole = page[: len(run)] == page[LONG - 1 :] if len(run) else np.empty(0, bool)
+    run, key = run[whole], key[: len(run)][whole]
+    order = np.argsort(run, kind="stable")
+    run, key = run[order], key[order]
+    first = np.flatnonzero(np.diff(run, prepend=~run[:1]))
+    lo, hi = (f.reduceat(key, first) if len(first) else key for f in (np.minimum, np.maximum))
+    host, shard = (pa.repeat(group.column(c)[0], len(first)) for c in ("host", "shard"))
+    return pa.table({"host": host, "shard": shard, "run": pa.array(run[first].view(np.int64)), "lo": pa.array(lo), "hi": pa.array(hi)})
+
+
+def _unshared(group: pa.Table, known: pa.Table) -> pa.Table:
+    """The texts of a shard's pages without the runs they share, or that are known to be shared across shards."""
+    tokens, stream, page, run = _streams(group)
     gone = shared_tokens(stream, page)
+    if known.num_rows and len(run):
+        at = np.flatnonzero(np.isin(run, known.column("run").to_numpy().view(U64)) & (page[: len(run)] == page[LONG - 1 :]))
+        gone[(at[:, None] + np.arange(LONG)).ravel()] = True
     at, texts = 0, []
     for t in tokens:
         keep = [w for w, g in zip(t, gone[at : at + len(t)], strict=True) if not g]
@@ -202,7 +231,10 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     marked, other = parsed.where("parts IS NULL").select("page_id", "url", "text"), parsed.where("parts IS NOT NULL")
     hosts = other.groupBy("host").agg(F.ceil(F.count("*") / shard).alias("shards"))
     other = other.join(hosts, "host").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), F.col("shards")))
-    cut = other.groupBy("host", "shard").applyInArrow(_unshared, "page_id long, url string, text string")
+    runs = ws.save(other.where("shards > 1").groupBy("host", "shard").applyInArrow(_runs, "host string, shard long, run long, lo long, hi long"), "runs")
+    shared = runs.groupBy("host", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("host", "run")
+    known = runs.join(shared, ["host", "run"]).select("host", "shard", "run")
+    cut = other.groupBy("host", "shard").cogroup(known.groupBy("host", "shard")).applyInArrow(_unshared, "page_id long, url string, text string")
     out = marked.unionByName(cut)
     return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
 

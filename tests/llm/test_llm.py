@@ -271,6 +271,17 @@ def test_html(spark):
     assert got == {i: text(30, i) for i in range(4)} | {9: "", 10: ""}
 
 
+def test_html_is_the_same_in_shards(spark):
+    menus = [text(12, 1200 + i) for i in range(20)]
+    rows = [(i, f"http://a.com/{i}", f"<body><div>{menus[i % 20]}</div><p>{text(30, 1250 + i)}</p></body>") for i in range(40)]
+    rows += [(i, f"http://b.com/{i}", f"<body><div>{menus[i % 20]}</div><p>{text(30, 1250 + i)}</p></body>") for i in range(40, 50)] + [rows[0], rows[0]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: text(30, 1250 + i) for i in range(40)} | {i: f"{menus[i % 20]} {text(30, 1250 + i)}" for i in range(40, 50)}
+    for shard in (html_text.SHARD, 4, 1):
+        got = html_text.extract(spark, df, shard=shard).collect()
+        assert len(got) == len(rows) and {r.page_id: r.text for r in got} == want
+
+
 def test_shared_tokens_against_windows():
     rng = np.random.default_rng(0)
     for _ in range(40):
