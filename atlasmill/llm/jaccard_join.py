@@ -412,9 +412,9 @@ def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k
     return given.repartition("a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(_intersect(percent, brief), "u long, v long, bound long")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of docs; see the module for what is linked."""
-    ws = Workspace(spark, "jaccard")
+def _classes(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, common: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Texts; their rows by class; classes; and the classes that meet in tiles."""
+    spark = ws.spark
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     told = ws.save(texts.mapInArrow(_describe(k, common), "kind int, id long, ent long, n long, bits binary"), "described")
     rows = told.where("kind = 0")
@@ -423,16 +423,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     hot = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.toLocalIterator()], np.int64).view(np.uint64)).tobytes())
     classes = ws.save(rows.groupBy("ent").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     buckets = max(partitions(spark), math.ceil(size["entries"] / BUCKET))
-    blobs = texts.mapInArrow(_prefixes(k, percent, hot, buckets), "bucket long, h binary, ent binary, n binary")
+    blobs = texts.mapInArrow(_prefixes(k, percent, hot, buckets), "bucket long, h binary, ent binary, n binary, place binary")
     met = ws.save(blobs.groupBy("bucket").applyInArrow(_tiles(percent), "kind int, a long, b long, n long"), "tiles")
+    return texts, rows, classes, met
 
-    votes = met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    tries = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
-    left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
-    tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
-    links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v"), "links")
 
-    roots = ws.save(components(ws, links), "roots")
+def _close(ws: Workspace, met: DataFrame, votes: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b, bound) of classes of different components that sizes, bitmaps and short shingles allow."""
+    left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
     pairs2 = votes.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
     # pairs of two-member tiles and of centres that the first round left out, if still apart
     pairs2 = pairs2.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long")
@@ -457,7 +455,21 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     rest = ws.save(rest.groupBy("a", "b").agg(F.min(F.when(F.col("told"), F.col("bound"))).alias("bound")), "rest")
     # pairs that only bitmaps let through are told by short shingles as well
     vague = _links(ws, rest.where("bound IS NULL").select("a", "b"), texts, classes, k, percent, brief=True)
-    rest = ws.save(rest.where("bound IS NOT NULL").unionByName(vague.toDF("a", "b", "bound")), "close")
+    return ws.save(rest.where("bound IS NOT NULL").unionByName(vague.toDF("a", "b", "bound")), "close")
+
+
+def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> DataFrame:
+    """(id, n_shingles, component_id) for every row of docs; see the module for what is linked."""
+    ws = Workspace(spark, "jaccard")
+    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common)
+    votes = met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    tries = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
+    left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
+    tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
+    links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v"), "links")
+
+    roots = ws.save(components(ws, links), "roots")
+    rest = _close(ws, met, votes, classes, texts, roots, k, percent)
     # the likeliest partner of each in each other component first, then all pairs that are still apart
     for last in (False, True):
         named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
@@ -479,5 +491,31 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def jaccard_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b, a < b) between classes of texts, by the least id of each, and the members (id, class id) of the classes.
+
+    Members of a class are linked with each other besides. Pairs within components are tested, too, so a group of g near copies costs g * g tests.
+    """
+    ws = Workspace(spark, "links")
+    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common)
+    apart = spark.createDataFrame([], "node long, root long")
+    close = _close(ws, met, met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n")), classes, texts, apart, k, percent)
+    found = ws.save(_links(ws, close.select("a", "b"), texts, classes, k, percent).select("u", "v"), "links")
+    named = [classes.select(F.col("ent").alias(x), F.col("rep").alias(f"r{x}")) for x in "uv"]
+    links = found.join(named[0], "u").join(named[1], "v").select(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).distinct()
+    members = rows.where("n > 0 AND id IS NOT NULL").join(classes.select("ent", "rep"), "ent").select(F.col("id").alias(id_col), F.col("rep").alias("class_id")).distinct()
+    return links, members
+
+
+def link_counts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
+    """(id, n_links) of each id with a text: how many others its text is linked with, equal ones included."""
+    links, members = jaccard_links(spark, docs, id_col, text_col, **how)
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("n"))
+    ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ways.join(sizes, F.col("b") == F.col("class_id")).groupBy("a").agg(F.sum("n").alias("others"))
+    told = sizes.join(others, F.col("class_id") == F.col("a"), "left").select("class_id", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.join(told, "class_id").select(id_col, "n_links")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, table(spark, sf_dir, "documents"))

@@ -68,6 +68,18 @@ def test_jaccard_against_brute_force(spark, docs):
     assert len(set(find(i) for i in data)) < len(data)
 
 
+def test_jaccard_links_against_brute_force(spark, docs):
+    data = {r.doc_id: shingles(r.text) for r in docs.collect() if r.doc_id is not None}
+    data = {i: s for i, s in data.items() if s}
+    rep = {s: min(i for i in data if data[i] == s) for s in set(data.values())}
+    pairs = {(i, j) for i in data for j in data if i < j and 100 * len(data[i] & data[j]) >= 75 * len(data[i] | data[j])}
+    links, members = jaccard_join.jaccard_links(spark, docs)
+    assert {tuple(r) for r in members.collect()} == {(i, rep[s]) for i, s in data.items()}
+    assert sorted(tuple(r) for r in links.collect()) == sorted((i, j) for i, j in pairs if rep[data[i]] == i and rep[data[j]] == j and data[i] != data[j])
+    counts = collections.Counter(x for p in pairs for x in p)
+    assert {r.doc_id: r.n_links for r in jaccard_join.link_counts(spark, docs).collect()} == {i: counts[i] for i in data}
+
+
 def test_token_counts_and_packing(spark, docs):
     lib = tokenizers.Tokenizer.from_file(PATH)
     extra = ["<|endoftext|> a<|endoftext|>", "x  y\n\n z\t q r 　 end ", "don't we'll 123abc ñandú 漢字 🙂" * 3, "a" * 5000, " lead", "trail \n", "\x1c\x85 a"]
