@@ -2,15 +2,18 @@
 
 Texts with equal sets form one class first. Each class puts its set into a prefix of shingles that any partner above the
 threshold must share (a global order puts shingles found in many texts last, so prefixes hold rare ones). The classes that
-share a prefix shingle make a tile, cut into size bands: only sizes that the threshold allows meet. Inside a tile, hashed
-bitmaps of 2 to 4 bits a shingle bound the overlap from above: each bit set in one bitmap alone stands for a shingle that
+share a prefix shingle make a tile. Linked sets share more than one shingle of their prefixes, and how many is known from their sizes. So tiles of
+up to SMALL classes are written out as pairs, and pairs are counted: one that shares too few, and no larger tile, has no link.
+Larger tiles are named by their least class, which makes one of those that a passage gives rise to, and cut into size bands: only sizes that the threshold allows meet.
+Inside a tile, hashed bitmaps of 2 to 4 bits a shingle bound the overlap from above: each bit set in one bitmap alone stands for a shingle that
 the other set lacks. Pairs that the bound lets through are intersected exactly, as sorted arrays.
 
-Pairs are never expanded within groups of copies. First every class is tried against a few
-partners in its tiles (a centre and neighbours, those that share most prefix shingles); then only pairs of a tile whose classes
+Pairs are never expanded within groups of copies. First the counted pairs are tried, and every class of a larger tile against a few
+partners there (a centre and neighbours, those that share most prefix shingles); then only pairs of a tile whose classes
 are still in different components, the likeliest first, then all that are left. So no link that could join two components is left out, and a
 group of g copies costs a few times g tests.
 
+A shingle that more than HOT classes may have is dealt into several buckets by class, and its tile is compared in blocks, so none is one task's.
 Defined results: null and empty texts have an empty set, no links, and are their own component; repeated rows and equal
 texts share a class; columns other than id and text are ignored. A row with a null id keeps it; it is in the
 component of texts equal to it, but a text that only such rows have has no links. Shingles are compared by 64-bit hashes.
@@ -33,8 +36,10 @@ from atlasmill.llm.workspace import Workspace, partitions, table
 
 #: A shingle is common if about one text in so many has it; the list is at most mean set size x COMMON long, whatever the input.
 COMMON = 1000
-#: Members of a tile that one task compares at a time, and prefix entries that one task sorts.
-BLOCK, BUCKET = 2048, 400_000
+#: Members of a tile that one task compares at a time, prefix entries that one task sorts, and those of one shingle that it takes.
+BLOCK, BUCKET, HOT = 2048, 400_000, 200_000
+#: Tiles of up to so many members are written out as pairs.
+SMALL = 4
 #: Tiles of more members, if they are in different components, are compared by short shingles besides bitmaps.
 WIDE = 128
 #: Neighbours in the order of class keys that each member of a tile is voted for besides the centre; partners tried first.
@@ -46,6 +51,16 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1 if n else 0
 
 
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Of the prefixes of linked sets of sizes n and m, so many shingles are in both.
+
+    A set lacks n - shared of its shingles in the other one. All of the prefix that ends first but those are in the other prefix.
+    """
+    shared = -(-percent * (n + m) // (100 + percent))
+    first, other = ((x - -(-x * percent // 100) + 1) - (x - shared) for x in (n, m))
+    return np.minimum(first, other)
+
+
 def bitmap(s: np.ndarray) -> bytes:
     bits = 1 << max(6, (2 * len(s) - 1).bit_length())
     flags = np.zeros(bits, np.uint8)
@@ -110,18 +125,16 @@ def _describe(k: int, common: int):
     return run
 
 
-#: Places in a prefix are told apart to one part in so many, rounded towards its start.
-PLACES = 256
+def _prefixes(k: int, percent: int, common, buckets: int, hot: int):
+    """Entries (shingle, class, size) of every class's prefix, as columns in one blob a bucket; each class once a partition.
 
-
-def _prefixes(k: int, percent: int, hot, buckets: int):
-    """Entries (shingle, class, size, place) of every class's prefix, as columns in one blob a bucket; each class once a partition.
-
-    Of a shingle's hash, 32 bits beside the bucket suffice here: a collision only makes a tile larger.
+    Of a shingle's hash, 32 bits beside the bucket suffice here: a collision only makes a tile larger. Of shingles that more than hot
+    classes may have, entries go to several buckets; their sizes are negative.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = np.frombuffer(hot.value, np.uint64)
+        late, counts = (np.frombuffer(x, t) for x, t in zip(common.value, (np.uint64, np.int64), strict=True))
+        ways = -(-counts // hot)
         seen: set[int] = set()
         held: list[tuple[np.ndarray, int, int]] = []
         size = 0
@@ -129,14 +142,18 @@ def _prefixes(k: int, percent: int, hot, buckets: int):
         def emit():
             h = np.concatenate([x[0] for x in held])
             each = [len(x[0]) for x in held]
-            place = np.concatenate([np.arange(m) * PLACES // m for m in each]).astype(np.uint8)
             ent, n = np.repeat(np.array([x[1] for x in held], np.int64), each), np.repeat(np.array([x[2] for x in held], np.int32), each)
             to = (h % np.uint64(buckets)).astype(np.int64)
+            if len(ways) and ways.max() > 1:
+                at = np.minimum(np.searchsorted(late, h), len(late) - 1)
+                wide = (late[at] == h) & (ways[at] > 1)
+                to[wide] = (to[wide] + (mix(ent[wide].view(np.uint64)) % ways[at[wide]].astype(np.uint64)).astype(np.int64)) % buckets
+                n[wide] *= -1
             order = np.argsort(to, kind="stable")
-            h, ent, n, place, to = h[order], ent[order], n[order], place[order], to[order]
+            h, ent, n, to = h[order], ent[order], n[order], to[order]
             cut = np.flatnonzero(np.diff(to, prepend=-1))
             ends = [*cut[1:], len(to)]
-            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", (h >> np.uint64(32)).astype(np.uint32)), ("ent", ent), ("n", n), ("place", place))})
+            return pa.record_batch({"bucket": pa.array(to[cut], pa.int64())} | {c: pa.array([x[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("h", (h >> np.uint64(32)).astype(np.uint32)), ("ent", ent), ("n", n))})
 
         for batch in batches:
             for s in shingle_sets(batch.column("text").to_pylist(), k):
@@ -158,48 +175,57 @@ def _prefixes(k: int, percent: int, hot, buckets: int):
     return run
 
 
-def reach(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
-    """Largest size of a partner whose first shared shingle is at this place of a prefix: no more is shared than what follows."""
-    n = n.astype(np.int64)
-    before = -(-place * (n - -(-n * percent // 100) + 1) // PLACES)
-    return ((100 + percent) * (n - before) - percent * n) // percent
-
-
-def met(h: np.ndarray, n: np.ndarray, most: np.ndarray, percent: int) -> np.ndarray:
-    """Entries, sorted by (shingle, size), that some other entry of their shingle may be linked with as the first one shared."""
-    tile = np.cumsum(np.diff(h, prepend=h[:1]) != 0).astype(np.int64) << 32
-    at, low = tile + n, most >= n  # low: a partner as large as itself is in reach
-    lows = at[low]
-    under = np.searchsorted(lows, tile + np.minimum(n, most), "right") - np.searchsorted(lows, tile - (-n.astype(np.int64) * percent // 100), "left")
-    over = np.searchsorted(at, tile + np.minimum(n.astype(np.int64) * 100 // percent, most), "right") - np.searchsorted(at, at, "left")
-    return (under > low) | (low & (over > 1))
+#: Kinds of rows of tiles: a pair that is worth a try (a, b, shared prefix shingles), a member (tile, class, size), a pair of small tiles
+#: (a, b, shared prefix shingles, those that a link needs).
+TRY, MEMBER, PAIR = 0, 1, 2
+TILES = "kind int, a long, b long, n long, need long"
 
 
 def _tiles(percent: int):
-    """Of a bucket's entries: kind 0 (centre, class, shared prefix shingles), kind 1 (tile, class, size) of tiles of three or more."""
+    """Of a bucket's entries the rows of its tiles, see TILES."""
 
     def run(group: pa.Table) -> pa.Table:
-        h, ent, n, place = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32), ("place", np.uint8)))
-        order = np.lexsort((place, ent, n, h))
-        h, ent, n, place = h[order], ent[order], n[order], place[order]
+        h, ent, n = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32)))
+        order = np.lexsort((ent, np.abs(n), h))
+        h, ent, n = h[order], ent[order], n[order].astype(np.int64)
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (ent[1:] != ent[:-1])
-        h, ent, n, most = h[new], ent[new], n[new], reach(n[new], place[new].astype(np.int64), percent)
-        keep = met(h, n, most, percent)
-        h, ent, n, most = h[keep], ent[keep], n[keep], most[keep]
+        h, ent, n, wide = h[new], ent[new], np.abs(n[new]), n[new] < 0
         first = np.flatnonzero(np.diff(h, prepend=~h[:1]))
         length = np.diff(np.append(first, len(h)))
-        two = first[length == 2]
-        two = two[(n[two + 1] <= most[two]) & (n[two] <= most[two + 1])]
-        centre, other, tiles, lists = [np.minimum(ent[two], ent[two + 1])], [np.maximum(ent[two], ent[two + 1])], [], []
-        known: set[int] = set()
-        for a, m in zip(first[length > 2], length[length > 2], strict=True):
-            e, s = ent[a : a + m], n[a : a + m]
-            key = xxhash.xxh3_64_intdigest(e.tobytes()) - (1 << 63)
+        small = (length <= SMALL) & ~wide[first]
+        out = []
+        a, b = [], []
+        for m in range(2, SMALL + 1):
+            at = first[small & (length == m)]
+            for i in range(m):
+                for j in range(i + 1, m):  # by size
+                    fits = n[at + i] * 100 >= n[at + j] * percent
+                    a.append(at[fits] + i)
+                    b.append(at[fits] + j)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            need = least_shared(n[a], n[b], percent)
+            both, at, votes = np.unique(np.stack([np.minimum(ent[a], ent[b]), np.maximum(ent[a], ent[b])]), axis=1, return_index=True, return_counts=True)
+            out.append((np.full(len(at), PAIR, np.int32), both[0], both[1], votes.astype(np.int64), need[at]))
+        centre, other, tiles, lists = [], [], [], []
+        known: set[bytes] = set()
+        for s, m in zip(first[~small], length[~small], strict=True):
+            e, size = ent[s : s + m], n[s : s + m]
+            near = size[:-1] * 100 >= size[1:] * percent  # who has no neighbour in size has no partner here
+            keep = np.append(near, False) | np.append(False, near)
+            if wide[s]:
+                keep[:] = True
+            e, size = e[keep], size[keep]
+            if not len(e) or (not wide[s] and e.tobytes() in known):
+                continue
+            known.add(e.tobytes())
+            tiles.append(np.full(len(e), mix(h[s : s + 1].astype(np.uint64)).view(np.int64)[0] if wide[s] else e.min()))
+            lists.append((e, size))
             # size bands: from each band's least size up to 100 / percent times that
             i, left = 0, None
-            while i < m:
-                j = int(np.searchsorted(s, int(s[i]) * 100 // percent, "right"))
+            while i < len(e):
+                j = int(np.searchsorted(size, int(size[i]) * 100 // percent, "right"))
                 c = e[i:j].min()
                 centre.append(np.full(j - i, c))
                 other.append(e[i:j])
@@ -211,21 +237,39 @@ def _tiles(percent: int):
                     centre.append(np.minimum(left, c).reshape(1))
                     other.append(np.maximum(left, c).reshape(1))
                 i, left = j, c
-            if key not in known:
-                known.add(key)
-                tiles.append(np.full(m, key))
-                lists.append((e, s))
-        out = []
-        if any(map(len, centre)):
+        if tiles:
             c, o = np.concatenate(centre), np.concatenate(other)
             c, o = c[c != o], o[c != o]
-            both, votes = np.unique(np.stack([c, o]), axis=1, return_counts=True)
-            out.append((np.zeros(len(votes), np.int32), both[0], both[1], votes.astype(np.int64)))
-        if tiles:
-            t = np.concatenate(tiles)
-            out.append((np.ones(len(t), np.int32), t, np.concatenate([x[0] for x in lists]), np.concatenate([x[1] for x in lists]).astype(np.int64)))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int32)] + [np.empty(0, np.int64)] * 3
-        return pa.table(dict(zip(("kind", "a", "b", "n"), cols, strict=True)))
+            if len(c):
+                both, votes = np.unique(np.stack([c, o]), axis=1, return_counts=True)
+                out.append((np.full(len(votes), TRY, np.int32), both[0], both[1], votes.astype(np.int64), np.zeros(len(votes), np.int64)))
+            rows = np.stack([np.concatenate(tiles), *(np.concatenate([x[i] for x in lists]) for i in (0, 1))])
+            rows = np.unique(rows, axis=1)
+            out.append((np.full(rows.shape[1], MEMBER, np.int32), *rows, np.zeros(rows.shape[1], np.int64)))
+        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int32)] + [np.empty(0, np.int64)] * 4
+        return pa.table(dict(zip(("kind", "a", "b", "n", "need"), cols, strict=True)))
+
+    return run
+
+
+def _blocks(block: int):
+    """Numbers for runs of members of a tile in a partition's order; other partitions have others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        base, tile, n = TaskContext.get().partitionId() << 32, None, 0
+        for t in batches:
+            key = t.column("tile").to_numpy()
+            cut = np.flatnonzero(np.diff(key)) + 1
+            blk = []
+            for a, b in zip([0, *cut], [*cut, len(key)], strict=True):
+                if a < b:
+                    if key[a] != tile:
+                        tile, n = key[a], -(-n // block) * block
+                    blk.append(base + (n + np.arange(b - a)) // block)
+                    n += b - a
+            yield pa.RecordBatch.from_arrays([*t.columns, pa.array(np.concatenate(blk) if blk else np.empty(0, np.int64), pa.int64())], names=[*t.schema.names, "blk"])
 
     return run
 
@@ -346,14 +390,16 @@ def _sets(k: int, asked, brief: bool):
     """(class, set) of the texts whose ids may be asked for; the join with those that are follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(asked.value, np.uint8))
+        flags, seen = np.unpackbits(np.frombuffer(asked.value, np.uint8)), set()
         for t in batches:
             t = t.filter(t.column("id").is_valid())
             keep = flags[(mix(t.column("id").to_numpy().astype(np.uint64)) >> np.uint64(64 - ASKED_BITS)).astype(np.int64)] == 1
             ent, sets = [], []
             for s in shingle_sets(t.column("text").filter(pa.array(keep)).to_pylist(), k):
-                ent.append(set_key(s))
-                sets.append((short(s) if brief else s).tobytes())
+                if (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    ent.append(key)
+                    sets.append((short(s) if brief else s).tobytes())
             yield pa.record_batch({"ent": pa.array(ent, pa.int64()), "s": pa.array(sets, pa.binary())})
 
     return run
@@ -393,13 +439,12 @@ PARTNERS = 32
 
 
 def _asked_sets(ws: Workspace, ents: DataFrame, texts: DataFrame, reps: DataFrame, k: int, brief: bool) -> DataFrame:
-    """(ent, s) of the classes asked for, each made once from the text of one row: whole hashes, or 16 bits of each."""
+    """(ent, s) of the classes asked for, and others, made from the text of one row, or once a partition where rows repeat: whole hashes, or 16 bits of each."""
     need = ws.save(ents.select("ent").distinct().join(reps.where("rep IS NOT NULL").select("ent", "rep"), "ent"), "asked")
     asked = np.zeros(1 << (ASKED_BITS - 3), np.uint8)
     for (x,) in need.select("rep").coalesce(8).mapInArrow(_ask, "f binary").collect():
         asked |= np.frombuffer(x, np.uint8)
-    sets = texts.mapInArrow(_sets(k, texts.sparkSession.sparkContext.broadcast(asked.tobytes()), brief), "ent long, s binary")
-    return sets.dropDuplicates(["ent"])
+    return texts.mapInArrow(_sets(k, texts.sparkSession.sparkContext.broadcast(asked.tobytes()), brief), "ent long, s binary")
 
 
 def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k: int, percent: int, brief: bool = False) -> DataFrame:
@@ -412,64 +457,78 @@ def _links(ws: Workspace, pairs: DataFrame, texts: DataFrame, reps: DataFrame, k
     return given.repartition("a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(_intersect(percent, brief), "u long, v long, bound long")
 
 
-def _classes(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, common: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _classes(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, common: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Texts; their rows by class; classes; and the classes that meet in tiles."""
     spark = ws.spark
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     told = ws.save(texts.mapInArrow(_describe(k, common), "kind int, id long, ent long, n long, bits binary"), "described")
     rows = told.where("kind = 0")
     size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.lit(0)).alias("entries")).first()
-    often = told.where("kind = 1").groupBy("ent").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, size["rows"] // common)).select("ent")
-    hot = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.toLocalIterator()], np.int64).view(np.uint64)).tobytes())
+    often = told.where("kind = 1").groupBy("ent").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, size["rows"] // common)).select("ent", "n")
+    listed = np.array([tuple(r) for r in often.toLocalIterator()], np.int64).reshape(-1, 2)
+    listed = listed[np.argsort(listed[:, 0].copy().view(np.uint64))]
+    often = spark.sparkContext.broadcast((listed[:, 0].tobytes(), listed[:, 1].tobytes()))
     classes = ws.save(rows.groupBy("ent").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     buckets = max(partitions(spark), math.ceil(size["entries"] / BUCKET))
-    blobs = texts.mapInArrow(_prefixes(k, percent, hot, buckets), "bucket long, h binary, ent binary, n binary, place binary")
-    met = ws.save(blobs.groupBy("bucket").applyInArrow(_tiles(percent), "kind int, a long, b long, n long"), "tiles")
+    blobs = texts.mapInArrow(_prefixes(k, percent, often, buckets, hot), "bucket long, h binary, ent binary, n binary")
+    met = ws.save(blobs.groupBy("bucket").applyInArrow(_tiles(percent), TILES), "tiles")
     return texts, rows, classes, met
 
 
-def _close(ws: Workspace, met: DataFrame, votes: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b, bound) of classes of different components that sizes, bitmaps and short shingles allow."""
+def _counted(ws: Workspace, met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of small tiles that share as many prefix shingles as a link needs. One less will do: two of one pair may have equal 32 bits."""
+    pairs = met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    return ws.save(pairs.where("n >= need - 1").select("a", "b"), "counted")
+
+
+def _fit(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that bitmaps allow."""
     left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
-    pairs2 = votes.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    # pairs of two-member tiles and of centres that the first round left out, if still apart
-    pairs2 = pairs2.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long")
-    member = met.where("kind = 1").select(F.col("a").alias("tile"), F.col("b").alias("ent"), "n").distinct().join(roots, F.col("ent") == roots.node, "left").select("tile", "ent", "n", F.coalesce("root", "ent").alias("comp"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long")
+
+
+def _close(ws: Workspace, met: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """Pairs (a, b, bound) of classes of different components in larger tiles that sizes, bitmaps and short shingles allow."""
+    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("tile"), F.col("b").alias("ent"), "n").distinct().join(roots, F.col("ent") == roots.node, "left").select("tile", "ent", "n", F.coalesce("root", "ent").alias("comp"))
+    member = ws.save(member, "members")
     apart = member.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("tile", "members")
-    member = member.join(apart, "tile")
-    # blocks by size: a member meets its own block and the others of its tile, two at a time
-    small = member.where(F.col("members") <= BLOCK).select("tile", F.lit(0).alias("p"), F.lit(0).alias("q"), "ent", "n", "comp", F.lit(0).alias("blk"), "members")
-    large = member.where(F.col("members") > BLOCK).withColumn("blk", F.floor((F.row_number().over(Window.partitionBy("tile").orderBy("n", "ent")) - 1) / BLOCK).cast("int"))
-    span = large.groupBy("tile", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    meets = span.alias("s").join(span.alias("t"), (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & (F.col("t.lo") * percent <= F.col("s.hi") * 100)).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
+    member = ws.save(member.join(apart, "tile"), "apart")
+    # a member of a large tile meets its own block and the others, two at a time, but for blocks of one component and of sizes too far apart
+    small = member.where(F.col("members") <= block).select("tile", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), "ent", "n", "comp", F.lit(0).cast("long").alias("blk"), "members")
+    large = member.where(F.col("members") > block).repartitionByRange("tile", "comp", "n", "ent").sortWithinPartitions("tile", "comp", "n", "ent")
+    large = ws.save(large.mapInArrow(_blocks(block), "tile long, ent long, n long, comp long, members long, blk long"), "blocks")
+    span = large.groupBy("tile", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("one"), F.max("comp").alias("end"))
+    s, t = span.alias("s"), span.alias("t")
+    differ = (F.col("s.one") != F.col("t.end")) | (F.col("s.end") != F.col("t.one"))
+    fits = (F.col("t.lo") * percent <= F.col("s.hi") * 100) & (F.col("s.lo") * percent <= F.col("t.hi") * 100)
+    meets = s.join(t, (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & differ & fits).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
     large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk", "members")
     # members of large tiles come with short shingles, as bitmaps alone let most pairs of near copies through
     wide = member.where(F.col("members") > WIDE).select("ent")
-    shorts = _asked_sets(ws, wide, texts, classes, k, True) if not wide.isEmpty() else wide.withColumn("s", F.lit(None).cast("binary"))
-    block = small.where(F.col("members") <= WIDE).withColumn("short", F.lit(None).cast("binary"))
-    block = block.unionByName(small.where(F.col("members") > WIDE).unionByName(large).join(shorts.withColumnRenamed("s", "short"), "ent", "left").select(block.columns))
-    block = block.drop("members").join(classes.select("ent", "bits"), "ent")
-    block = block.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits", "short").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
-    pairs2 = pairs2.select("a", "b", F.lit(0).cast("long").alias("bound"), F.lit(False).alias("told"))
-    rest = block.mapInArrow(_within(percent), "a long, b long, bound long, told boolean").unionByName(pairs2)
+    shorts = _asked_sets(ws, wide, texts, classes, k, True).dropDuplicates(["ent"]) if not wide.isEmpty() else wide.withColumn("s", F.lit(None).cast("binary"))
+    rows = small.where(F.col("members") <= WIDE).withColumn("short", F.lit(None).cast("binary"))
+    rows = rows.unionByName(small.where(F.col("members") > WIDE).unionByName(large).join(shorts.withColumnRenamed("s", "short"), "ent", "left").select(rows.columns))
+    rows = rows.drop("members").join(classes.select("ent", "bits"), "ent")
+    rows = rows.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits", "short").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
+    rest = rows.mapInArrow(_within(percent), "a long, b long, bound long, told boolean")
     rest = ws.save(rest.groupBy("a", "b").agg(F.min(F.when(F.col("told"), F.col("bound"))).alias("bound")), "rest")
     # pairs that only bitmaps let through are told by short shingles as well
-    vague = _links(ws, rest.where("bound IS NULL").select("a", "b"), texts, classes, k, percent, brief=True)
+    vague = _links(ws, rest.where("bound IS NULL").select("a", "b"), texts, classes, k, percent, brief=True).distinct()
     return ws.save(rest.where("bound IS NOT NULL").unionByName(vague.toDF("a", "b", "bound")), "close")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> DataFrame:
+def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) for every row of docs; see the module for what is linked."""
     ws = Workspace(spark, "jaccard")
-    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common)
-    votes = met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    tries = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
-    left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
-    tries = ws.save(tries.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "tries")
-    links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v"), "links")
+    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
+    votes = met.where(F.col("kind") == TRY).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    votes = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
+    tries = ws.save(votes.unionByName(_counted(ws, met)).distinct(), "tries")
+    tries = ws.save(_fit(tries, classes, percent), "fit")
+    links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v").distinct(), "links")
 
     roots = ws.save(components(ws, links), "roots")
-    rest = _close(ws, met, votes, classes, texts, roots, k, percent)
+    rest = _close(ws, met, classes, texts, roots, k, percent, block)
     # the likeliest partner of each in each other component first, then all pairs that are still apart
     for last in (False, True):
         named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
@@ -480,7 +539,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         apart = ws.save(apart.select("a", "b"), "apart")
         if apart.isEmpty():
             break
-        more = ws.save(_links(ws, apart, texts, classes, k, percent).select("u", "v"), "more")
+        more = ws.save(_links(ws, apart, texts, classes, k, percent).select("u", "v").distinct(), "more")
         if not more.isEmpty():  # the roots so far stand for the links so far
             links = more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
             roots = ws.save(components(ws, links), "roots")
@@ -491,16 +550,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def jaccard_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON) -> tuple[DataFrame, DataFrame]:
+def jaccard_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, common: int = COMMON, hot: int = HOT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """All links (a, b, a < b) between classes of texts, by the least id of each, and the members (id, class id) of the classes.
 
     Members of a class are linked with each other besides. Pairs within components are tested, too, so a group of g near copies costs g * g tests.
     """
     ws = Workspace(spark, "links")
-    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common)
+    texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
     apart = spark.createDataFrame([], "node long, root long")
-    close = _close(ws, met, met.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("n")), classes, texts, apart, k, percent)
-    found = ws.save(_links(ws, close.select("a", "b"), texts, classes, k, percent).select("u", "v"), "links")
+    close = _close(ws, met, classes, texts, apart, k, percent, block).select("a", "b").unionByName(_fit(_counted(ws, met), classes, percent)).distinct()
+    found = ws.save(_links(ws, ws.save(close, "pairs"), texts, classes, k, percent).select("u", "v").distinct(), "links")
     named = [classes.select(F.col("ent").alias(x), F.col("rep").alias(f"r{x}")) for x in "uv"]
     links = found.join(named[0], "u").join(named[1], "v").select(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).distinct()
     members = rows.where("n > 0 AND id IS NOT NULL").join(classes.select("ent", "rep"), "ent").select(F.col("id").alias(id_col), F.col("rep").alias("class_id")).distinct()

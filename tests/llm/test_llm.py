@@ -62,9 +62,10 @@ def test_jaccard_against_brute_force(spark, docs):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     want = {i: (len(s), find(i)) for i, s in data.items()}
-    got = jaccard_join.jaccard_components(spark, docs).collect()
-    assert len(got) == docs.count()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
+    for how in ({}, {"hot": 4, "block": 6}):  # shingles of many texts in several buckets, tiles in several blocks
+        got = jaccard_join.jaccard_components(spark, docs, **how).collect()
+        assert len(got) == docs.count()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
     assert len(set(find(i) for i in data)) < len(data)
 
 
