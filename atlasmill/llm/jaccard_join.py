@@ -5,7 +5,7 @@ threshold must share (a global order puts shingles found in many texts last, so
 share a prefix shingle make a tile. Linked sets share more than one shingle of their prefixes, and how many is known from their sizes. So tiles of
 up to SMALL classes are written out as pairs, and pairs are counted: one that shares too few, and no larger tile, has no link.
 Larger tiles are named by their least class, which makes one of those that a passage gives rise to, and cut into size bands: only sizes that the threshold allows meet.
-Inside a tile, hashed bitmaps of 2 to 4 bits a shingle bound the overlap from above: each bit set in one bitmap alone stands for a shingle that
+Inside a tile, hashed bitmaps of 1 to 2 bits a shingle bound the overlap from above: each bit set in one bitmap alone stands for a shingle that
 the other set lacks. Pairs that the bound lets through are intersected exactly, as sorted arrays.
 
 Pairs are never expanded within groups of copies. First the counted pairs are tried, and every class of a larger tile against a few
@@ -37,11 +37,11 @@ from atlasmill.llm.workspace import Workspace, partitions, table
 #: A shingle is common if about one text in so many has it; the list is at most mean set size x COMMON long, whatever the input.
 COMMON = 1000
 #: Members of a tile that one task compares at a time, prefix entries that one task sorts, and those of one shingle that it takes.
-BLOCK, BUCKET, HOT = 2048, 400_000, 200_000
+BLOCK, BUCKET, HOT = 2048, 1_000_000, 200_000
 #: Tiles of up to so many members are written out as pairs.
-SMALL = 4
-#: Tiles of more members, if they are in different components, are compared by short shingles besides bitmaps.
-WIDE = 128
+SMALL = 8
+#: A block, or two, of which bitmaps let through more pairs than so many times its members is compared again, by short shingles besides.
+VAGUE = 4
 #: Neighbours in the order of class keys that each member of a tile is voted for besides the centre; partners tried first.
 RING, TRIES = 3, 4
 
@@ -62,7 +62,7 @@ def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    bits = 1 << max(6, (len(s) - 1).bit_length())
     flags = np.zeros(bits, np.uint8)
     flags[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
@@ -175,7 +175,7 @@ def _prefixes(k: int, percent: int, common, buckets: int, hot: int):
     return run
 
 
-#: Kinds of rows of tiles: a pair that is worth a try (a, b, shared prefix shingles), a member (tile, class, size), a pair of small tiles
+#: Kinds of rows of tiles: a pair that is worth a try (a, b, shared prefix shingles, those that a link needs), a member (tile, class, size), a pair of small tiles
 #: (a, b, shared prefix shingles, those that a link needs).
 TRY, MEMBER, PAIR = 0, 1, 2
 TILES = "kind int, a long, b long, n long, need long"
@@ -242,7 +242,11 @@ def _tiles(percent: int):
             c, o = c[c != o], o[c != o]
             if len(c):
                 both, votes = np.unique(np.stack([c, o]), axis=1, return_counts=True)
-                out.append((np.full(len(votes), TRY, np.int32), both[0], both[1], votes.astype(np.int64), np.zeros(len(votes), np.int64)))
+                who, at = np.unique(np.concatenate([x[0] for x in lists]), return_index=True)
+                size = np.concatenate([x[1] for x in lists])[at]
+                x, y = (np.sort(size[np.searchsorted(who, both)], axis=0))
+                fits = x * 100 >= y * percent
+                out.append((np.full(fits.sum(), TRY, np.int32), both[0, fits], both[1, fits], votes[fits].astype(np.int64), least_shared(x, y, percent)[fits]))
             rows = np.stack([np.concatenate(tiles), *(np.concatenate([x[i] for x in lists]) for i in (0, 1))])
             rows = np.unique(rows, axis=1)
             out.append((np.full(rows.shape[1], MEMBER, np.int32), *rows, np.zeros(rows.shape[1], np.int64)))
@@ -330,16 +334,36 @@ def _pairs(ent: np.ndarray, n: np.ndarray, comp: np.ndarray, blk: np.ndarray, bi
         yield take()
 
 
-def _within(percent: int):
-    """Rows of a partition, sorted by (tile, p, q, n): one block or pair of blocks after the other."""
+def _within(percent: int, vague: int | None):
+    """Rows of a partition, sorted by (tile, p, q, n): one block or pair of blocks after the other.
+
+    Pairs (a, b, bound, told). With vague, of blocks that give more than vague times their members only their names (tile, p, q).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def close():
-            if held:
-                ent, n, comp, blk = (np.concatenate([h[c] for h in held]) for c in range(4))
-                yield from _pairs(ent, n, comp, blk, [x for h in held for x in h[4]], [x for h in held for x in h[5]], percent)
+            if not held:
+                return
+            ent, n, comp, blk = (np.concatenate([h[c] for h in held]) for c in range(4))
+            kept, size = [], 0
+            for out in _pairs(ent, n, comp, blk, [x for h in held for x in h[4]], [x for h in held for x in h[5]], percent):
+                kept.append(out)
+                size += len(out)
+                if vague is None:
+                    yield from (named(x, None) for x in kept)
+                    kept = []
+                elif size > vague * len(ent):
+                    yield named(None, key)
+                    return
+            yield from (named(x, None) for x in kept)
+
+        def named(out, block):
+            m = len(out) if out is not None else 1
+            pairs = out.columns if out is not None else [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.bool_())]
+            at = [pa.array([x], pa.int64()) for x in block] if block else [pa.nulls(m, pa.int64())] * 3
+            return pa.RecordBatch.from_arrays([*pairs, *at], names=["a", "b", "bound", "told", "tile", "p", "q"])
 
         for t in batches:
             k = [t.column(c).to_numpy() for c in ("tile", "p", "q")]
@@ -481,10 +505,12 @@ def _counted(ws: Workspace, met: DataFrame) -> DataFrame:
     return ws.save(pairs.where("n >= need - 1").select("a", "b"), "counted")
 
 
-def _fit(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that bitmaps allow."""
-    left, right = (classes.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long")
+def _fit(ws: Workspace, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that bitmaps allow. pairs: written."""
+    ents = ws.save(pairs.select(F.explode(F.array("a", "b")).alias("ent")).distinct(), "ents")
+    few = ws.save(classes.join(ents, "ent", "left_semi").select("ent", "n", "bits"), "few")
+    left, right = (few.select(F.col("ent").alias(e), F.col("n").alias(n), F.col("bits").alias(x)) for e, n, x in (("a", "n", "x"), ("b", "m", "y")))
+    return ws.save(pairs.join(left, "a").join(right, "b").mapInArrow(_allowed(percent), "a long, b long"), "fit")
 
 
 def _close(ws: Workspace, met: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, k: int, percent: int, block: int) -> DataFrame:
@@ -503,15 +529,20 @@ def _close(ws: Workspace, met: DataFrame, classes: DataFrame, texts: DataFrame,
     fits = (F.col("t.lo") * percent <= F.col("s.hi") * 100) & (F.col("s.lo") * percent <= F.col("t.hi") * 100)
     meets = s.join(t, (F.col("s.tile") == F.col("t.tile")) & (F.col("s.blk") <= F.col("t.blk")) & differ & fits).select(F.col("s.tile"), F.col("s.blk").alias("p"), F.col("t.blk").alias("q"))
     large = meets.select("tile", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("blk")).join(large, ["tile", "blk"]).select("tile", "p", "q", "ent", "n", "comp", "blk", "members")
-    # members of large tiles come with short shingles, as bitmaps alone let most pairs of near copies through
-    wide = member.where(F.col("members") > WIDE).select("ent")
-    shorts = _asked_sets(ws, wide, texts, classes, k, True).dropDuplicates(["ent"]) if not wide.isEmpty() else wide.withColumn("s", F.lit(None).cast("binary"))
-    rows = small.where(F.col("members") <= WIDE).withColumn("short", F.lit(None).cast("binary"))
-    rows = rows.unionByName(small.where(F.col("members") > WIDE).unionByName(large).join(shorts.withColumnRenamed("s", "short"), "ent", "left").select(rows.columns))
-    rows = rows.drop("members").join(classes.select("ent", "bits"), "ent")
-    rows = rows.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits", "short").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
-    rest = rows.mapInArrow(_within(percent), "a long, b long, bound long, told boolean")
-    rest = ws.save(rest.groupBy("a", "b").agg(F.min(F.when(F.col("told"), F.col("bound"))).alias("bound")), "rest")
+    rows = ws.save(small.unionByName(large).drop("members"), "rows")
+    bits = classes.select("ent", "bits")
+
+    def compared(rows: DataFrame, vague: int | None) -> DataFrame:
+        dealt = rows.select("tile", "p", "q", "ent", "n", "comp", "blk", "bits", "short").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "n")
+        return ws.save(dealt.mapInArrow(_within(percent, vague), "a long, b long, bound long, told boolean, tile long, p long, q long"), "compared")
+
+    found = compared(rows.join(bits, "ent").withColumn("short", F.lit(None).cast("binary")), VAGUE)
+    again = ws.save(rows.join(found.where("a IS NULL").select("tile", "p", "q"), ["tile", "p", "q"]), "again")
+    if not again.isEmpty():
+        shorts = _asked_sets(ws, again.select("ent"), texts, classes, k, True).dropDuplicates(["ent"]).withColumnRenamed("s", "short")
+        found = found.unionByName(compared(again.join(bits, "ent").join(shorts, "ent", "left"), None))
+    rest = found.where("a IS NOT NULL").groupBy("a", "b").agg(F.min(F.when(F.col("told"), F.col("bound"))).alias("bound"))
+    rest = ws.save(rest, "rest")
     # pairs that only bitmaps let through are told by short shingles as well
     vague = _links(ws, rest.where("bound IS NULL").select("a", "b"), texts, classes, k, percent, brief=True).distinct()
     return ws.save(rest.where("bound IS NOT NULL").unionByName(vague.toDF("a", "b", "bound")), "close")
@@ -521,10 +552,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """(id, n_shingles, component_id) for every row of docs; see the module for what is linked."""
     ws = Workspace(spark, "jaccard")
     texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
-    votes = met.where(F.col("kind") == TRY).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    # a first choice only, so half of what a link needs will do: not each tile of two classes has them for centre or neighbours
+    votes = met.where(F.col("kind") == TRY).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("2 * n >= need")
     votes = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
     tries = ws.save(votes.unionByName(_counted(ws, met)).distinct(), "tries")
-    tries = ws.save(_fit(tries, classes, percent), "fit")
+    tries = _fit(ws, tries, classes, percent)
     links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v").distinct(), "links")
 
     roots = ws.save(components(ws, links), "roots")
@@ -558,7 +590,7 @@ def jaccard_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     ws = Workspace(spark, "links")
     texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
     apart = spark.createDataFrame([], "node long, root long")
-    close = _close(ws, met, classes, texts, apart, k, percent, block).select("a", "b").unionByName(_fit(_counted(ws, met), classes, percent)).distinct()
+    close = _close(ws, met, classes, texts, apart, k, percent, block).select("a", "b").unionByName(_fit(ws, _counted(ws, met), classes, percent)).distinct()
     found = ws.save(_links(ws, ws.save(close, "pairs"), texts, classes, k, percent).select("u", "v").distinct(), "links")
     named = [classes.select(F.col("ent").alias(x), F.col("rep").alias(f"r{x}")) for x in "uv"]
     links = found.join(named[0], "u").join(named[1], "v").select(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).distinct()
