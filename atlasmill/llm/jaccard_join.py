@@ -9,7 +9,7 @@ Inside a tile, hashed bitmaps of 1 to 2 bits a shingle bound the overlap from ab
 the other set lacks. Pairs that the bound lets through are intersected exactly, as sorted arrays.
 
 Pairs are never expanded within groups of copies. First the counted pairs are tried, and every class of a larger tile against a few
-partners there (a centre and neighbours, those that share most prefix shingles); then only pairs of a tile whose classes
+partners there (the least classes of its tiles, those that share most prefix shingles, and neighbours); then only pairs of a tile whose classes
 are still in different components, the likeliest first, then all that are left. So no link that could join two components is left out, and a
 group of g copies costs a few times g tests.
 
@@ -42,8 +42,8 @@ BLOCK, BUCKET, HOT = 2048, 1_000_000, 200_000
 SMALL = 8
 #: A block, or two, of which bitmaps let through more pairs than so many times its members is compared again, by short shingles besides.
 VAGUE = 4
-#: Neighbours in the order of class keys that each member of a tile is voted for besides the centre; partners tried first.
-RING, TRIES = 3, 4
+#: Least classes that a member of larger tiles is tried with first, and neighbours, in the order of class keys, that are alike to the same one.
+TRIES, RING = 4, 3
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -175,14 +175,26 @@ def _prefixes(k: int, percent: int, common, buckets: int, hot: int):
     return run
 
 
-#: Kinds of rows of tiles: a pair that is worth a try (a, b, shared prefix shingles, those that a link needs), a member (tile, class, size), a pair of small tiles
-#: (a, b, shared prefix shingles, those that a link needs).
-TRY, MEMBER, PAIR = 0, 1, 2
-TILES = "kind int, a long, b long, n long, need long"
+#: Kinds of rows of tiles: a pair of small tiles (a, b), a member of a larger one (tile, class). n: the member's size; votes: shared prefix
+#: shingles, a member's with its tile's least class; need: those that a link needs, or NEVER.
+PAIR, MEMBER = 0, 1
+NEVER = 1 << 40
+NUMBERS = ("a", "b", "n", "votes", "need")
+TILES = "kind int, " + ", ".join(f"{c} long" for c in NUMBERS)
+BLOBS = "kind int, sub long, " + ", ".join(f"{c} binary" for c in NUMBERS)
 
 
-def _tiles(percent: int):
-    """Of a bucket's entries the rows of its tiles, see TILES."""
+def _tiles(percent: int, subs: int):
+    """Of a bucket's entries the rows of its tiles, as blobs dealt by a and b."""
+
+    def dealt(kind: int, *cols: np.ndarray) -> pa.Table:
+        sub = (mix(cols[0].view(np.uint64) ^ mix(cols[1].view(np.uint64))) % np.uint64(subs)).astype(np.int64)
+        order = np.argsort(sub, kind="stable")
+        sub = sub[order]
+        cut = np.flatnonzero(np.diff(sub, prepend=-1))
+        ends = [*cut[1:], len(sub)]
+        blobs = {c: pa.array([x[s:e].tobytes() for s, e in zip(cut, ends, strict=True)], pa.binary()) for c, x in zip(NUMBERS, (x[order] for x in cols), strict=True)}
+        return pa.table({"kind": pa.array([kind] * len(cut), pa.int32()), "sub": pa.array(sub[cut], pa.int64())} | blobs)
 
     def run(group: pa.Table) -> pa.Table:
         h, ent, n = (np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()]) for c, t in (("h", np.uint32), ("ent", np.int64), ("n", np.int32)))
@@ -194,7 +206,6 @@ def _tiles(percent: int):
         first = np.flatnonzero(np.diff(h, prepend=~h[:1]))
         length = np.diff(np.append(first, len(h)))
         small = (length <= SMALL) & ~wide[first]
-        out = []
         a, b = [], []
         for m in range(2, SMALL + 1):
             at = first[small & (length == m)]
@@ -204,80 +215,77 @@ def _tiles(percent: int):
                     a.append(at[fits] + i)
                     b.append(at[fits] + j)
         a, b = np.concatenate(a), np.concatenate(b)
-        if len(a):
-            need = least_shared(n[a], n[b], percent)
-            both, at, votes = np.unique(np.stack([np.minimum(ent[a], ent[b]), np.maximum(ent[a], ent[b])]), axis=1, return_index=True, return_counts=True)
-            out.append((np.full(len(at), PAIR, np.int32), both[0], both[1], votes.astype(np.int64), need[at]))
-        centre, other, tiles, lists = [], [], [], []
-        known: set[bytes] = set()
+        need = least_shared(n[a], n[b], percent)
+        both, at, votes = np.unique(np.stack([np.minimum(ent[a], ent[b]), np.maximum(ent[a], ent[b])]), axis=1, return_index=True, return_counts=True)
+        pairs = dealt(PAIR, *both, np.zeros(len(at), np.int64), votes.astype(np.int64), need[at])
+        rows: list[tuple] = []
         for s, m in zip(first[~small], length[~small], strict=True):
             e, size = ent[s : s + m], n[s : s + m]
-            near = size[:-1] * 100 >= size[1:] * percent  # who has no neighbour in size has no partner here
-            keep = np.append(near, False) | np.append(False, near)
-            if wide[s]:
-                keep[:] = True
-            e, size = e[keep], size[keep]
-            if not len(e) or (not wide[s] and e.tobytes() in known):
-                continue
-            known.add(e.tobytes())
-            tiles.append(np.full(len(e), mix(h[s : s + 1].astype(np.uint64)).view(np.int64)[0] if wide[s] else e.min()))
-            lists.append((e, size))
-            # size bands: from each band's least size up to 100 / percent times that
-            i, left = 0, None
-            while i < len(e):
-                j = int(np.searchsorted(size, int(size[i]) * 100 // percent, "right"))
-                c = e[i:j].min()
-                centre.append(np.full(j - i, c))
-                other.append(e[i:j])
-                ring = np.sort(e[i:j])
-                for gap in range(1, min(RING, j - i - 1) + 1):
-                    centre.append(ring[:-gap])
-                    other.append(ring[gap:])
-                if left is not None:
-                    centre.append(np.minimum(left, c).reshape(1))
-                    other.append(np.maximum(left, c).reshape(1))
-                i, left = j, c
-        if tiles:
-            c, o = np.concatenate(centre), np.concatenate(other)
-            c, o = c[c != o], o[c != o]
-            if len(c):
-                both, votes = np.unique(np.stack([c, o]), axis=1, return_counts=True)
-                who, at = np.unique(np.concatenate([x[0] for x in lists]), return_index=True)
-                size = np.concatenate([x[1] for x in lists])[at]
-                x, y = (np.sort(size[np.searchsorted(who, both)], axis=0))
-                fits = x * 100 >= y * percent
-                out.append((np.full(fits.sum(), TRY, np.int32), both[0, fits], both[1, fits], votes[fits].astype(np.int64), least_shared(x, y, percent)[fits]))
-            rows = np.stack([np.concatenate(tiles), *(np.concatenate([x[i] for x in lists]) for i in (0, 1))])
-            rows = np.unique(rows, axis=1)
-            out.append((np.full(rows.shape[1], MEMBER, np.int32), *rows, np.zeros(rows.shape[1], np.int64)))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int32)] + [np.empty(0, np.int64)] * 4
-        return pa.table(dict(zip(("kind", "a", "b", "n", "need"), cols, strict=True)))
+            if not wide[s]:
+                near = size[:-1] * 100 >= size[1:] * percent  # who has no neighbour in size has no partner here
+                keep = np.append(near, False) | np.append(False, near)
+                e, size = e[keep], size[keep]
+            if len(e):
+                c = int(e.argmin())
+                rows.append((np.full(len(e), e[c]), e, size, np.full(len(e), size[c])))
+            if wide[s]:  # parts of the tile in other buckets have the same name
+                rows.append((np.full(len(e), mix(h[s : s + 1].astype(np.uint64)).view(np.int64)[0]), e, size, np.zeros(len(e), np.int64)))
+        tile, e, size, least = (np.concatenate(x) for x in zip(*rows, strict=True)) if rows else [np.empty(0, np.int64)] * 4
+        both, at, votes = np.unique(np.stack([tile, e]), axis=1, return_index=True, return_counts=True)
+        size, least = size[at], least[at]
+        fits = np.minimum(size, least) * 100 >= np.maximum(size, least) * percent
+        need = np.where(fits & (both[0] != both[1]), least_shared(size, least, percent), NEVER)
+        return pa.concat_tables([pairs, dealt(MEMBER, *both, size, votes.astype(np.int64), need)])
 
     return run
 
 
-def _blocks(block: int):
-    """Numbers for runs of members of a tile in a partition's order; other partitions have others."""
+def _merge(group: pa.Table) -> pa.Table:
+    """Rows of equal (a, b) as one, with all their votes. Pairs that share too few shingles are left out; one less will do, as two of a pair may have equal 32 bits."""
+    a, b, n, votes, need = (np.concatenate([np.frombuffer(x, np.int64) for x in group.column(c).to_pylist()]) for c in NUMBERS)
+    kind = group.column("kind")[0].as_py()
+    both, at, inverse = np.unique(np.stack([a, b]), axis=1, return_index=True, return_inverse=True)
+    votes = np.bincount(inverse.ravel(), weights=votes).astype(np.int64)
+    cols = [*both, n[at], votes, need[at]]
+    if kind == PAIR:
+        cols = [x[votes >= need[at] - 1] for x in cols]
+    return pa.table({"kind": pa.array([kind] * len(cols[0]), pa.int32())} | {c: pa.array(x, pa.int64()) for c, x in zip(NUMBERS, cols, strict=True)})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        base, tile, n = TaskContext.get().partitionId() << 32, None, 0
+def _ring(percent: int):
+    """Pairs of neighbours of a tile in a partition's order, of sizes that may be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            key = t.column("tile").to_numpy()
-            cut = np.flatnonzero(np.diff(key)) + 1
-            blk = []
-            for a, b in zip([0, *cut], [*cut, len(key)], strict=True):
-                if a < b:
-                    if key[a] != tile:
-                        tile, n = key[a], -(-n // block) * block
-                    blk.append(base + (n + np.arange(b - a)) // block)
-                    n += b - a
-            yield pa.RecordBatch.from_arrays([*t.columns, pa.array(np.concatenate(blk) if blk else np.empty(0, np.int64), pa.int64())], names=[*t.schema.names, "blk"])
+            tile, ent, n = (t.column(c).to_numpy() for c in ("a", "b", "n"))
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for gap in range(1, RING + 1):
+                fits = (tile[:-gap] == tile[gap:]) & (np.minimum(n[:-gap], n[gap:]) * 100 >= percent * np.maximum(n[:-gap], n[gap:]))
+                a.append(ent[:-gap][fits])
+                b.append(ent[gap:][fits])
+            yield pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
     return run
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's partition, and its place among the rows of its tile there."""
+    from pyspark import TaskContext
+
+    part, tile, n = TaskContext.get().partitionId(), None, 0
+    for t in batches:
+        key = t.column("tile").to_numpy()
+        cut = np.flatnonzero(np.diff(key)) + 1
+        place = [np.empty(0, np.int64)]
+        for a, b in zip([0, *cut], [*cut, len(key)], strict=True):
+            if a < b:
+                if key[a] != tile:
+                    tile, n = key[a], 0
+                place.append(n + np.arange(b - a))
+                n += b - a
+        yield pa.RecordBatch.from_arrays([*t.columns, pa.array([part] * len(key), pa.int32()), pa.array(np.concatenate(place), pa.int64())], names=[*t.schema.names, "part", "place"])
+
+
 def short(s: np.ndarray) -> np.ndarray:
     """Of each shingle 16 bits that bitmaps of up to 2**16 bits do not use alone; equal ones stay, so the length is the set's size."""
     return (s >> np.uint64(48)).astype(np.uint16)
@@ -495,16 +503,11 @@ def _classes(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, k: int,
     classes = ws.save(rows.groupBy("ent").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     buckets = max(partitions(spark), math.ceil(size["entries"] / BUCKET))
     blobs = texts.mapInArrow(_prefixes(k, percent, often, buckets, hot), "bucket long, h binary, ent binary, n binary")
-    met = ws.save(blobs.groupBy("bucket").applyInArrow(_tiles(percent), TILES), "tiles")
+    tiles = blobs.groupBy("bucket").applyInArrow(_tiles(percent, buckets), BLOBS)
+    met = ws.save(tiles.groupBy("kind", "sub").applyInArrow(_merge, TILES), "tiles")
     return texts, rows, classes, met
 
 
-def _counted(ws: Workspace, met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of small tiles that share as many prefix shingles as a link needs. One less will do: two of one pair may have equal 32 bits."""
-    pairs = met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    return ws.save(pairs.where("n >= need - 1").select("a", "b"), "counted")
-
-
 def _fit(ws: Workspace, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that bitmaps allow. pairs: written."""
     ents = ws.save(pairs.select(F.explode(F.array("a", "b")).alias("ent")).distinct(), "ents")
@@ -515,14 +518,16 @@ def _fit(ws: Workspace, pairs: DataFrame, classes: DataFrame, percent: int) -> D
 
 def _close(ws: Workspace, met: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, k: int, percent: int, block: int) -> DataFrame:
     """Pairs (a, b, bound) of classes of different components in larger tiles that sizes, bitmaps and short shingles allow."""
-    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("tile"), F.col("b").alias("ent"), "n").distinct().join(roots, F.col("ent") == roots.node, "left").select("tile", "ent", "n", F.coalesce("root", "ent").alias("comp"))
+    member = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("tile"), F.col("b").alias("ent"), "n").join(roots, F.col("ent") == roots.node, "left").select("tile", "ent", "n", F.coalesce("root", "ent").alias("comp"))
     member = ws.save(member, "members")
     apart = member.groupBy("tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("tile", "members")
     member = ws.save(member.join(apart, "tile"), "apart")
     # a member of a large tile meets its own block and the others, two at a time, but for blocks of one component and of sizes too far apart
     small = member.where(F.col("members") <= block).select("tile", F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), "ent", "n", "comp", F.lit(0).cast("long").alias("blk"), "members")
     large = member.where(F.col("members") > block).repartitionByRange("tile", "comp", "n", "ent").sortWithinPartitions("tile", "comp", "n", "ent")
-    large = ws.save(large.mapInArrow(_blocks(block), "tile long, ent long, n long, comp long, members long, blk long"), "blocks")
+    large = ws.save(large.mapInArrow(_places, "tile long, ent long, n long, comp long, members long, part int, place long"), "places")
+    before = large.groupBy("tile", "part").agg(F.count("*").alias("n")).select("tile", "part", (F.sum("n").over(Window.partitionBy("tile").orderBy("part")) - F.col("n")).alias("before"))
+    large = ws.save(large.join(before, ["tile", "part"]).select("tile", "ent", "n", "comp", "members", F.floor((F.col("before") + F.col("place")) / block).alias("blk")), "blocks")
     span = large.groupBy("tile", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("one"), F.max("comp").alias("end"))
     s, t = span.alias("s"), span.alias("t")
     differ = (F.col("s.one") != F.col("t.end")) | (F.col("s.end") != F.col("t.one"))
@@ -552,10 +557,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """(id, n_shingles, component_id) for every row of docs; see the module for what is linked."""
     ws = Workspace(spark, "jaccard")
     texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
-    # a first choice only, so half of what a link needs will do: not each tile of two classes has them for centre or neighbours
-    votes = met.where(F.col("kind") == TRY).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("2 * n >= need")
-    votes = votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("r") <= TRIES).select("a", "b")
-    tries = ws.save(votes.unionByName(_counted(ws, met)).distinct(), "tries")
+    # a first choice only, so half of what a link needs will do: not each tile of two classes has the same least class
+    votes = met.where((F.col("kind") == MEMBER) & (2 * F.col("votes") >= F.col("need")))
+    votes = ws.save(votes.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("votes"), "a"))).where(F.col("r") <= TRIES).select("a", "b", "n"), "votes")
+    ring = votes.repartitionByRange("a", "b").sortWithinPartitions("a", "b").mapInArrow(_ring(percent), "a long, b long")
+    tries = ws.save(votes.select("a", "b").unionByName(ring).unionByName(met.where(F.col("kind") == PAIR).select("a", "b")).distinct(), "tries")
     tries = _fit(ws, tries, classes, percent)
     links = ws.save(_links(ws, tries, texts, classes, k, percent).select("u", "v").distinct(), "links")
 
@@ -590,7 +596,7 @@ def jaccard_links(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     ws = Workspace(spark, "links")
     texts, rows, classes, met = _classes(ws, docs, id_col, text_col, k, percent, common, hot)
     apart = spark.createDataFrame([], "node long, root long")
-    close = _close(ws, met, classes, texts, apart, k, percent, block).select("a", "b").unionByName(_fit(ws, _counted(ws, met), classes, percent)).distinct()
+    close = _close(ws, met, classes, texts, apart, k, percent, block).select("a", "b").unionByName(_fit(ws, ws.save(met.where(F.col("kind") == PAIR).select("a", "b"), "counted"), classes, percent)).distinct()
     found = ws.save(_links(ws, ws.save(close, "pairs"), texts, classes, k, percent).select("u", "v").distinct(), "links")
     named = [classes.select(F.col("ent").alias(x), F.col("rep").alias(f"r{x}")) for x in "uv"]
     links = found.join(named[0], "u").join(named[1], "v").select(F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")).distinct()
