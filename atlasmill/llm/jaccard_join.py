@@ -192,7 +192,7 @@ def _tiles(percent: int, subs: int):
         order = np.argsort(sub, kind="stable")
         sub = sub[order]
         cut = np.flatnonzero(np.diff(sub, prepend=-1))
-        ends = [*cut[1:], len(sub)]
+        ends = np.append(cut[1:], len(sub))[: len(cut)]
         blobs = {c: pa.array([x[s:e].tobytes() for s, e in zip(cut, ends, strict=True)], pa.binary()) for c, x in zip(NUMBERS, (x[order] for x in cols), strict=True)}
         return pa.table({"kind": pa.array([kind] * len(cut), pa.int32()), "sub": pa.array(sub[cut], pa.int64())} | blobs)
 

@@ -69,6 +69,11 @@ def test_jaccard_against_brute_force(spark, docs):
     assert len(set(find(i) for i in data)) < len(data)
 
 
+def test_jaccard_without_anything_shared(spark):
+    df = spark.createDataFrame([(i, text(9, 5000 + i)) for i in range(5)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_join.jaccard_components(spark, df).collect()) == [(i, 5, i) for i in range(5)]
+
+
 def test_jaccard_links_against_brute_force(spark, docs):
     data = {r.doc_id: shingles(r.text) for r in docs.collect() if r.doc_id is not None}
     data = {i: s for i, s in data.items() if s}
