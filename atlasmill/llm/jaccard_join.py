@@ -10,7 +10,7 @@ the other set lacks. Pairs that the bound lets through are intersected exactly,
 
 Pairs are never expanded within groups of copies. First the counted pairs are tried, and every class of a larger tile against a few
 partners there (the least classes of its tiles, those that share most prefix shingles, and neighbours); then only pairs of a tile whose classes
-are still in different components, the likeliest first, then all that are left. So no link that could join two components is left out, and a
+are still in different components, the likeliest of each class first, then of each class and component, then all that are left. So no link that could join two components is left out, and a
 group of g copies costs a few times g tests.
 
 A shingle that more than HOT classes may have is dealt into several buckets by class, and its tile is compared in blocks, so none is one task's.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -567,17 +568,20 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
 
     roots = ws.save(components(ws, links), "roots")
     rest = _close(ws, met, classes, texts, roots, k, percent, block)
-    # the likeliest partner of each in each other component first, then all pairs that are still apart
-    for last in (False, True):
-        named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
-        apart = rest.join(named[0], "a", "left").join(named[1], "b", "left").select("a", "b", "bound", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
-        if not last:
-            likely = [apart.groupBy(x, f"r{y}").agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")]
-            apart = likely[0].unionByName(likely[1]).distinct()
-        apart = ws.save(apart.select("a", "b"), "apart")
-        if apart.isEmpty():
+    # the likeliest partner of each class first, then that in each other component, then all pairs that are still apart
+    for partners in ("one", "each", "all"):
+        if partners == "one":
+            chosen = [rest.groupBy(x).agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")]
+        else:
+            named = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
+            rest = rest.join(named[0], "a", "left").join(named[1], "b", "left").select("a", "b", "bound", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
+            rest = ws.save(rest.where("ra <> rb"), "apart")
+            chosen = [rest.groupBy(x, f"r{y}").agg(F.max_by(y, F.struct("bound", y)).alias(y)).select("a", "b") for x, y in ("ab", "ba")] if partners == "each" else [rest.select("a", "b")]
+            rest = rest.select("a", "b", "bound")
+        chosen = ws.save(reduce(DataFrame.unionByName, chosen).distinct(), "chosen")
+        if chosen.isEmpty():
             break
-        more = ws.save(_links(ws, apart, texts, classes, k, percent).select("u", "v").distinct(), "more")
+        more = ws.save(_links(ws, chosen, texts, classes, k, percent).select("u", "v").distinct(), "more")
         if not more.isEmpty():  # the roots so far stand for the links so far
             links = more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
             roots = ws.save(components(ws, links), "roots")

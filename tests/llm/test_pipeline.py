@@ -1,3 +1,5 @@
+import collections
+
 import pytest
 
 import corpus_pipeline
@@ -13,6 +15,7 @@ def sf_dir(spark, tmp_path_factory):
     texts = [(i, text(60, 2100 + i) + (" vile brute" if i % 4 == 0 else "")) for i in range(80)]
     texts += [(100, edit(texts[1][1], 1, 1)), (101, texts[2][1]), (102, f"{text(20, 2001)} {ITEM} {text(9, 2002)}"), (103, ITEM.rsplit(" ", 1)[0])]
     texts += [(104, f"{text(20, 2003)} password: hunter22 end"), (105, None), (106, ""), (3, texts[3][1]), (None, text(20, 2004)), (None, None)]
+    texts += [(None, texts[5][1]), (None, f"{ITEM} {text(5, 2005)}"), (7, text(30, 2006)), (None, text(20, 2004))]  # a copy, a leak, an id of two texts, a row twice
     rows = [(i, t, "en", "x", len(t or "")) for i, t in texts]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, ITEM), (2, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
@@ -21,23 +24,26 @@ def sf_dir(spark, tmp_path_factory):
 
 
 def first_of_near(rows):
-    sets = {i: shingles(t) for i, t in rows if i is not None}
-    root = {i: i for i in sets}
-    for _ in sets:
-        for i in sets:
-            for j in sets:
-                if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+    """One row of each component of distinct rows: those with an id of their own come first, by id."""
+    ids = collections.Counter(i for i, _ in rows)
+    rows = sorted(set(rows), key=lambda r: (r[0] is None or ids[r[0]] > 1, r[0] or 0, r[1] or ""))
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if x and 100 * len(x & y) >= 75 * len(x | y):
                     root[i] = root[j] = min(root[i], root[j])
-        if all(root[root[i]] == root[i] for i in root):
+        if all(root[r] == r for r in root):
             break
-    return {(i, t) for i, t in rows if i is None or root[i] == i}
+    return {r for i, r in enumerate(rows) if root[i] == i}
 
 
 def plain(rows, stage):
     if stage == 1:
         return first_of_near(rows)
     if stage == 2:
-        return {(i, t) for i, t in rows if i not in (102, 103)}
+        return {(i, t) for i, t in rows if ITEM.rsplit(" ", 1)[0] not in (t or "")}
     return {(i, t and t.replace("password: hunter22", "<assign>")) for i, t in rows}
 
 
