@@ -2,7 +2,7 @@
 
 A piece is a vector of tokens, segments and loss-bearing tokens. Documents longer than a sequence fill whole ones; a rest goes
 into the open sequence that it fits under all three limits with the largest dot product of its vector and the room left, both
-in units of the limits. If it fits none and no more may be opened, it is cut to fill the one with the most room. What is open
+in units of the limits. If it fits none and no more may be opened, it is cut to fill the one that takes most of it. What is open
 at the end of a partition is packed tight, and the last rest is cut at powers of two, which need no padding. Memory is bounded
 by the open sequences; no row leaves its partition, so nothing is shuffled.
 
@@ -12,7 +12,6 @@ columns are ignored. A partition's result depends on its rows in their order alo
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,18 +28,30 @@ COLUMNS = {"id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc
 SCHEMA = ", ".join(f"{c} long" for c in COLUMNS)
 
 
-class Ids(bpe.Parts):
-    """Little-endian 32-bit ids of each part."""
+class Ids:
+    """Little-endian 32-bit ids of a text, special tokens by their names. The library merges by id, which is the order of merges here."""
 
     def __init__(self, path: str):
         import tiktoken
 
-        v = bpe.vocabulary(path)
-        core = tiktoken.Encoding("vocabulary", pat_str=r"\S+|\s+", mergeable_ranks=v.ids, special_tokens={})._core_bpe
-        super().__init__(v, lambda b: struct.pack(f"<{len(x := core.encode_single_piece(b))}I", *x), b"".join)
+        self.vocab = v = bpe.vocabulary(path)
+        order = [new for _, new in sorted(v.merges.values())]
+        if order != sorted(order):
+            raise ValueError(f"ids of {path} don't follow the order of its merges")
+        self.library = tiktoken.Encoding("vocabulary", pat_str=bpe.PATTERN, mergeable_ranks=v.ids, special_tokens={})
 
-    def special(self, name: str):
-        return self.vocab.special[name].to_bytes(4, "little")
+    def of(self, text: str) -> bytes:
+        if self.vocab.split is None or not any(s in text for s in self.vocab.special):
+            return self.plain(text)
+        parts = self.vocab.split.split(text)
+        return b"".join(self.vocab.special[x].to_bytes(4, "little") if i % 2 else self.plain(x) for i, x in enumerate(parts))
+
+    def plain(self, text: str) -> bytes:
+        try:
+            return self.library.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:  # a run of white space too long for the library's expressions
+            core = self.library._core_bpe
+            return np.concatenate([np.array(core.encode_single_piece(p.encode()), "<u4") for p in self.vocab.pattern.findall(text)]).tobytes()
 
 
 _ids: dict[str, Ids] = {}
@@ -53,20 +64,26 @@ def ids_of(path: str) -> Ids:
 
 
 class Piece:
-    __slots__ = ("doc", "start", "ids", "total")
+    __slots__ = ("doc", "start", "ids", "total", "free")
 
-    def __init__(self, doc, start: int, ids: bytes, total: int):
-        self.doc, self.start, self.ids, self.total = doc, start, ids, total
+    def __init__(self, doc, start: int, ids: bytes, total: int, free: int = 0):
+        self.doc, self.start, self.ids, self.total, self.free = doc, start, ids, total, free
 
     def __len__(self) -> int:
         return len(self.ids) // 4
 
     def loss(self) -> int:
-        """All but the end id, the last of its document, bear loss."""
-        return len(self) - (self.start + len(self) == self.total)
+        """All bear loss but the free first ids of a document, its prompt, and the end id, its last."""
+        return max(0, min(self.start + len(self), self.total - 1) - max(self.start, self.free))
+
+    def room(self, tokens: int, loss: int) -> int:
+        """How many of its first ids fit."""
+        free = max(0, min(self.free - self.start, len(self)))
+        n = min(tokens, len(self), free + loss)
+        return min(tokens, len(self)) if n >= self.total - 1 - self.start else n
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
-        return Piece(self.doc, self.start, self.ids[: 4 * n], self.total), Piece(self.doc, self.start + n, self.ids[4 * n :], self.total)
+        return Piece(self.doc, self.start, self.ids[: 4 * n], self.total, self.free), Piece(self.doc, self.start + n, self.ids[4 * n :], self.total, self.free)
 
 
 class Packer:
@@ -87,16 +104,20 @@ class Packer:
     def put(self, i: int, p: Piece) -> None:
         self.open[i].append(p)
         self.room[i] -= (len(p), 1, p.loss())
-        if self.room[i].min() < 1:
+        if self.room[i, :2].min() < 1:
             self.close(self.open[i])
             self.open[i], self.room[i] = [], self.limit
 
-    def add(self, doc, ids: bytes) -> None:
-        p = Piece(doc, 0, ids, len(ids) // 4)
-        whole = min(self.tokens, self.loss)
-        while len(p) > whole:
-            full, p = p.cut(whole)
+    def add(self, doc, ids: bytes, free: int = 0) -> None:
+        p = Piece(doc, 0, ids, len(ids) // 4, free)
+        while p.room(self.tokens, self.loss) < len(p) or len(p) == self.tokens:
+            n = p.room(self.tokens, self.loss)
+            if n < self.tokens:  # its loss fills a sequence, its tokens don't
+                break
+            full, p = p.cut(n)
             self.close([full])
+            if not len(p):
+                return
         while p is not None:
             need = np.array([len(p), 1, p.loss()])
             score = np.where((self.room >= need).all(axis=1), (self.room / self.limit) @ (need / self.limit), -1.0)
@@ -104,9 +125,14 @@ class Packer:
             if score[i] >= 0:
                 self.put(i, p)
                 return
-            i = int(self.room[:, [0, 2]].min(axis=1).argmax())
-            fits = int(self.room[i, [0, 2]].min())
-            first, p = p.cut(fits) if fits < len(p) else (p, None)
+            fits = [p.room(int(t), int(x)) for t, _, x in self.room]
+            i = max(range(len(fits)), key=fits.__getitem__)
+            if not fits[i]:  # every open one is full of loss: the fullest goes as it is
+                i = int(self.room[:, 0].argmin())
+                self.close(self.open[i])
+                self.open[i], self.room[i] = [], self.limit
+                continue
+            first, p = p.cut(fits[i]) if fits[i] < len(p) else (p, None)
             self.put(i, first)
 
     def finish(self) -> None:
@@ -117,11 +143,12 @@ class Packer:
         size = loss = 0
         for p in left:  # in turn, each sequence filled before the next
             while p is not None:
-                fits = min(self.tokens - size, self.loss - loss)
-                first, p = p.cut(fits) if fits < len(p) else (p, None)
-                run.append(first)
-                size, loss = size + len(first), loss + first.loss()
-                if size == self.tokens or loss == self.loss or len(run) == self.segments:
+                fits = p.room(self.tokens - size, self.loss - loss)
+                if fits:
+                    first, p = p.cut(fits) if fits < len(p) else (p, None)
+                    run.append(first)
+                    size, loss = size + len(first), loss + first.loss()
+                if not fits or size == self.tokens or len(run) == self.segments:
                     self.close(run)
                     run, size, loss = [], 0, 0
         while size:  # the rest, at powers of two
@@ -142,10 +169,12 @@ class Packer:
         return pa.record_batch({c: pa.array(x, t) for (c, t), x in zip(COLUMNS.items(), cols, strict=True)})
 
 
-def pack(spark: SparkSession, docs: DataFrame, vocab_path: str, max_tokens: int = 2048, max_segments: int = 64, max_loss: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, vocab_path: str, max_tokens: int = 2048, max_segments: int = 64, max_loss: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None) -> DataFrame:
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, loss_tokens, sequence_id, offset.
 
-    A sequence holds at most max_tokens tokens, max_segments pieces and max_loss loss-bearing tokens.
+    A sequence holds at most max_tokens tokens, max_segments pieces and max_loss loss-bearing tokens. prompt_col: a text whose ids come before those
+    of the text and bear no loss, as prompts in instruction data; a null one is empty. Without it all ids but the end id bear loss, so then a max_loss under
+    max_tokens leaves room that is padding.
     """
     prepare(spark)
     end = end_id.to_bytes(4, "little")
@@ -155,14 +184,15 @@ def pack(spark: SparkSession, docs: DataFrame, vocab_path: str, max_tokens: int
 
         ids, packer = ids_of(vocab_path), Packer(TaskContext.get().partitionId(), max_tokens, max_segments, max_loss)
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-                text = text.as_py()
-                packer.add(doc, b"".join(ids.values(text)) + end if text else end)
+            for doc, text, prompt in zip(*(batch.column(c) for c in ("id", "text", "prompt")), strict=True):
+                text, prompt = text.as_py(), prompt.as_py()
+                first = ids.of(prompt) if prompt else b""
+                packer.add(doc.as_py(), first + (ids.of(text) if text else b"") + end, len(first) // 4)
             yield packer.take()
         packer.finish()
         yield packer.take()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(prompt_col) if prompt_col else F.lit(None)).cast("string").alias("prompt"))
     return rows.mapInArrow(run, SCHEMA).withColumnRenamed("id", id_col)
 
 

@@ -93,26 +93,52 @@ def test_token_counts_and_packing(spark, docs):
     ids = {r.doc_id: lib.encode(r.text or "", add_special_tokens=False).ids for r in df.collect()}
     got = token_counts.count_tokens(spark, df, PATH).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(x) for i, x in ids.items()}
-    rows = packing.pack(spark, df, PATH, max_tokens=256, max_segments=4, max_loss=200).collect()
+    whole = {i: [*x, 1] for i, x in ids.items()}
+    check_packed(packing.pack(spark, df, PATH, max_tokens=256, max_segments=4, max_loss=200).collect(), whole, {}, 256, 4, 200)
+    rows = packing.pack(spark, df.coalesce(1), PATH, max_tokens=256).collect()
+    sizes = collections.Counter(check_packed(rows, whole, {}, 256, 64, 2048))
+    assert {n for n in sizes if n & (n - 1)} == set() and sum(c for n, c in sizes.items() if n < 256) <= 8  # no padding
+
+
+def test_packing_of_prompts(spark):
+    lib = tokenizers.Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    rows = [(i, text(rng.randint(0, 120), 6000 + i) or None, text(rng.randint(0, 60), 6200 + i)) for i in range(150)] + [(150, "\n" + " " * 300_000, None), (151, text(4, 1), text(900, 2)), (152, text(900, 3), "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, prompt string")
+    first = {i: lib.encode(p or "", add_special_tokens=False).ids for i, _, p in rows}
+    whole = {i: [*first[i], *lib.encode(t or "", add_special_tokens=False).ids, 1] for i, t, _ in rows}
+    got = packing.pack(spark, df, PATH, max_tokens=256, max_segments=6, max_loss=160, prompt_col="prompt").collect()
+    sizes = check_packed(got, whole, {i: len(x) for i, x in first.items()}, 256, 6, 160)
+    small = [r for r in got if r.doc_id < 150]
+    assert max(sum(r.loss_tokens for r in small if r.sequence_id == s) for s in {r.sequence_id for r in small}) > 150  # the limit binds
+    assert len(sizes) < 1.3 * max(sum(map(len, whole.values())) / 256, sum(r.loss_tokens for r in got) / 160)
+
+
+def check_packed(rows, whole, free, tokens, segments, loss):
+    """Each id in one piece, no gaps, within the limits; the sizes of the sequences."""
     place, seq = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
-        whole = [*ids[r.doc_id], 1]
-        piece = np.array(whole[r.start : r.start + r.length], "<u4")
-        assert len(piece) == r.length > 0 and zlib.crc32(piece.tobytes()) == r.ids_crc32 and r.doc_tokens == len(whole)
+        ids = whole[r.doc_id]
+        piece = np.array(ids[r.start : r.start + r.length], "<u4")
+        assert len(piece) == r.length > 0 and zlib.crc32(piece.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids)
+        assert r.loss_tokens == sum(free.get(r.doc_id, 0) <= k < len(ids) - 1 for k in range(r.start, r.start + r.length))
         place[r.doc_id].append((r.start, r.length))
         seq[r.sequence_id].append((r.offset, r.length, r.loss_tokens))
-    for i, x in ids.items():
+    for i, x in whole.items():
         at = 0
         for s, n in sorted(place[i]):
             assert s == at
             at += n
-        assert at == len(x) + 1
+        assert at == len(x)
+    sizes = []
     for pieces in seq.values():
         at = 0
         for o, n, _ in sorted(pieces):
             assert o == at
             at += n
-        assert at <= 256 and len(pieces) <= 4 and sum(p[2] for p in pieces) <= 200
+        assert at <= tokens and len(pieces) <= segments and sum(p[2] for p in pieces) <= loss
+        sizes.append(at)
+    return sizes
 
 
 def test_secrets_against_expressions(spark):
