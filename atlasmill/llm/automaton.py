@@ -168,8 +168,8 @@ class Automaton:
         return (two == 0).all(axis=0)
 
 
-def compile_all(expressions: list[tuple[str, bool]], unanchored: bool) -> Automaton:
-    """(expression, either case) each."""
+def compile_all(expressions: list[tuple[str, bool]], unanchored: bool, backwards: bool = False) -> Automaton:
+    """(expression, either case) each. backwards: for one expression, over bytes from right to left."""
     nfa = _Nfa()
     first = nfa.state()
     ends: dict[int, int] = {}
@@ -177,6 +177,17 @@ def compile_all(expressions: list[tuple[str, bool]], unanchored: bool) -> Automa
         a, b = _Parser(text, either).choice()(nfa)
         nfa.eps[first].append(a)
         ends[b] = 1 << k
+    if backwards:
+        turned = _Nfa()
+        for _ in nfa.eps:
+            turned.state()
+        for s in range(len(nfa.eps)):
+            for t in nfa.eps[s]:
+                turned.eps[t].append(s)
+            for on, t in nfa.on[s]:
+                turned.on[t].append((on, s))
+        (last,) = ends
+        nfa, first, ends = turned, last, {first: 1}
     closures: list[frozenset[int]] = []
     for s in range(len(nfa.eps)):
         seen, todo = {s}, [s]

@@ -2,7 +2,7 @@
 
 A term is a run of letters, digits and non-ASCII characters, A-Z lower-cased; its presence anywhere in the whole text sets one
 of 2**HASH_BITS features. The machine is fitted on at most MAX_TRAIN labelled rows, those with the smallest hash of their id, over
-the SELECTED features whose presence tells most about the label there. Scoring reads every whole text, once, with no shuffle.
+the SELECTED features whose presence, alone or beside another's, tells most about the label there. Scoring reads every whole text, once, with no shuffle.
 
 Defined results: null and empty texts have no features and score the base rate; with no labelled row every score is 0; a null
 id is never held out and never learnt from; a text labelled twice counts as toxic if either label says so; repeated rows are
@@ -23,6 +23,8 @@ from atlasmill.llm.shingles import term_sets
 from atlasmill.llm.workspace import prepare, table
 
 HASH_BITS, MAX_TRAIN, SELECTED, LATENT = 20, 20_000, 4096, 8
+#: Frequent features of which pairs are formed, and the chi-squared that a pair must have beyond those of its terms.
+COMMON, PAIRED = 1024, 24
 
 
 def features(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -48,15 +50,42 @@ class Machine:
 
 
 def select(rows: list[np.ndarray], y: np.ndarray, n: int, least: int = 4) -> np.ndarray:
-    """The n features with the largest chi-squared of presence against the label, of those in least rows or more."""
+    """Up to n features of least rows or more: half for what their presence alone tells about the label, half for what it does beside another's.
+
+    The first are those with the largest chi-squared, above 4. A pair of terms may tell what neither does alone, so of the others, those
+    with the largest chi-squared of a pair are taken with their partners; pairs are formed of the COMMON most frequent features, over all rows.
+    """
     at, label = np.concatenate(rows), np.repeat(y, [len(r) for r in rows])
     df = np.bincount(at, minlength=1 << HASH_BITS).astype(float)
     hit = np.bincount(at, weights=label, minlength=1 << HASH_BITS)
+    alone = _chi(df, hit, y)
+    alone[df < least] = -1
+    best = np.argsort(-alone, kind="stable")[: n // 2]
+    best = best[alone[best] > 4]
+    # terms of nearly all rows form no pairs that differ from the partner
+    often = np.argsort(-np.where((df >= least) & (df <= 0.9 * len(y)), df, -1), kind="stable")[:COMMON]
+    often = np.sort(often[df[often] >= least])
+    if len(often) > 1:
+        x = np.zeros((len(rows), len(often)), np.float32)
+        for i, r in enumerate(rows):
+            place = np.searchsorted(often, r).clip(max=len(often) - 1)
+            x[i, place[often[place] == r]] = 1
+        both, hits = x.T @ x, x.T @ (x * y[:, None].astype(np.float32))
+        chi = _chi(both.astype(float), hits.astype(float), y)
+        # what the pair tells beyond either term
+        chi -= np.maximum(_chi(df[often], hit[often], y)[:, None], _chi(df[often], hit[often], y)[None, :])
+        chi[both < least] = -1
+        np.fill_diagonal(chi, -1)
+        top = np.argsort(-chi.max(axis=1), kind="stable")[: n - n // 2]
+        best = np.concatenate([best, often[top[chi.max(axis=1)[top] > PAIRED]]])
+    return np.unique(best)
+
+
+def _chi(df: np.ndarray, hit: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Chi-squared of presence in df rows, hit of them labelled, against the label."""
     rate = y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
-        z = np.where(df >= least, (hit - df * rate) ** 2 / (df * rate * (1 - rate) * np.maximum(1 - df / len(y), 1e-9)), -1)
-    best = np.argsort(-z, kind="stable")[:n]
-    return np.sort(best[z[best] > 4])
+        return np.nan_to_num((hit - df * rate) ** 2 / (df * rate * (1 - rate) * np.maximum(1 - df / len(y), 1e-9)))
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 256, rate: float = 0.15, l2_w: float = 2e-4, l2_v: float = 2e-3, seed: int = 7) -> Machine:
@@ -110,13 +139,15 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_train: in
             yield pa.record_batch({"id": b.column("id"), "y": b.column("y"), "x": pa.array([x.tobytes() for x in features(b.column("text").to_pylist())], pa.binary())})
 
     got = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(rows), "id")
-    got = got.mapInArrow(run, "id long, y int, x binary").limit(2 * max_train).toArrow().sort_by([("id", "ascending"), ("x", "ascending")])
+    # a row for each labelled id, whatever rows of documents have it: that with the least features
+    got = got.mapInArrow(run, "id long, y int, x binary").groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")).toArrow().sort_by([("id", "ascending"), ("x", "ascending")])
     return fit([np.frombuffer(x, np.int32) for x in got.column("x").to_pylist()], got.column("y").to_numpy().astype(float))
 
 
 def score(spark: SparkSession, docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
-    """docs with one more column, score. No other column than the text is read for it."""
+    """docs with one more column, score, in place of one of that name. No other column than the text is read for it."""
     prepare(spark)
+    docs = docs.drop("score")
     sent = spark.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

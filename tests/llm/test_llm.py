@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -157,6 +158,11 @@ def test_secrets_against_expressions(spark):
     for r in secrets.find_secrets(spark, df).collect():
         got = [(x.start, x.end, x.kind) for x in r.secret_spans if x.kind in secrets.BASE]
         assert got == brute(r.text)
+    for t in ("eyJ" * 100_000 + ".eyJ", "a" * 500_000, "token" * 60_000 + " " * 50_000, "éAKIA" * 50_000, "password=abcdef " * 20_000):  # linear, whatever the text
+        began = time.time()
+        got = secrets.scanner().scan([t])
+        assert [(s, e) for s, e, k in next(got) if k < 3] == [(s, e) for s, e, _ in brute(t)] and time.time() - began < 20
+    assert "secret_spans" in secrets.find_secrets(spark, df.selectExpr("doc_id", "text", "1 AS secret_spans")).columns
     clean = secrets.redact(spark, spark.createDataFrame([(1, "my password: hunter22 ok"), (2, None)], "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r.text for r in clean] == ["my <assign> ok", None]
 
@@ -169,12 +175,29 @@ def test_toxicity(spark):
     m = toxicity.train(spark, df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     got = toxicity.score(spark, df, m).where(toxicity.held_out("doc_id")).collect()
     assert got and np.mean([(r.score >= 0.5) == r.toxic for r in got]) > 0.97
+    assert toxicity.score(spark, df.selectExpr("doc_id", "text", "'x' AS score"), m).select("score").dtypes == [("score", "double")]
+    x = np.array([5, 9, 70], np.int32)
+    p = toxicity.Machine(np.arange(100, dtype=np.int32), 0.3, np.linspace(-1, 1, 100), np.random.default_rng(1).normal(size=(100, 8)))
+    z = 0.3 + p.w[x].sum() + sum(p.v[i] @ p.v[j] for i in x for j in x if i < j)
+    assert abs(p.score(x) - 1 / (1 + np.exp(-z))) < 1e-9
     odd = toxicity.score(spark, spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string"), m).collect()
     assert all(0 <= r.score <= 1 for r in odd)
     none = toxicity.train(spark, df.select("doc_id", "text"), df.limit(0).select("doc_id", "toxic"))
     assert none.score(np.array([1], np.int32)) < 1e-9
 
 
+def test_toxicity_of_a_pair_of_terms(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((i, " ".join([*rng.sample(WORDS, 12), *["vile"] * a, *["brutes"] * b]), int(a != b)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = toxicity.train(spark, df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    got = toxicity.score(spark, df, m).where(toxicity.held_out("doc_id")).collect()
+    assert np.mean([(r.score >= 0.5) == r.toxic for r in got]) > 0.9
+
+
 def test_fingerprints(spark, docs):
     df = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in imatch.fingerprints(spark, df).collect()}
