@@ -20,14 +20,15 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 def value_cascade(rows: DataFrame, crosswalk: DataFrame, keys: list[str], out: str = "label") -> DataFrame:
     """Label of the first key, in order, with one: that of its value, else of the key's wildcard *.
 
-    crosswalk(key, value, label). A value labelled EXCLUDE gives no label and blocks its key's wildcard, not later keys.
+    crosswalk(key, value, label), with line, its order, if values repeat: the first line counts. A value labelled EXCLUDE gives no label and
+    blocks its key's wildcard, not later keys.
     """
-    first = crosswalk.dropDuplicates(["key", "value"])
+    first = crosswalk.groupBy("key", "value").agg(F.min_by("label", "line").alias("label")) if "line" in crosswalk.columns else crosswalk.dropDuplicates(["key", "value"])
     found, df = [], rows
     for k in keys:
         own = first.where((F.col("key") == k) & (F.col("value") != "*")).select(F.col("value").alias(k), F.col("label").alias(f"_{k}"))
-        wild = first.where((F.col("key") == k) & (F.col("value") == "*")).select(F.col("label").alias(f"_w{k}"))
-        df = df.join(F.broadcast(own), k, "left").join(F.broadcast(wild), F.col(k).isNotNull(), "left")
+        wild = first.where((F.col("key") == k) & (F.col("value") == "*")).select(F.lit(True).alias(f"_on{k}"), F.col("label").alias(f"_w{k}"))
+        df = df.join(own, k, "left").withColumn(f"_on{k}", F.col(k).isNotNull()).join(wild, f"_on{k}", "left")
         found.append(F.when(F.col(f"_{k}") == EXCLUDE, None).otherwise(F.coalesce(f"_{k}", f"_w{k}")))
     return df.withColumn(out, F.coalesce(*found)).select(*rows.columns, out)
 
@@ -43,7 +44,7 @@ def tier_lookup(rows: DataFrame, lookup: DataFrame, tiers: list[list[str]], colu
         rest = [c for c in columns if c not in use]
         mine = lookup.where(reduce(lambda a, b: a & b, [F.col(c) != "" for c in use] + [F.col(c) == "" for c in rest]))
         mine = mine.dropDuplicates(use).select(*[F.col(c).alias(f"_{c}") for c in use], F.col(value).alias(f"_t{i}"))
-        df = df.join(F.broadcast(mine), [f"_{c}" for c in use], "left")
+        df = df.join(mine, [f"_{c}" for c in use], "left")
     found = [F.when(F.col(f"_t{i}").isNotNull(), F.struct(F.col(f"_t{i}").alias(out), F.lit(i).alias(tier))) for i in range(1, len(tiers) + 1)]
     df = df.select(*[f"_{c}" for c in columns], F.coalesce(*found).alias("_f")).select(*[f"_{c}" for c in columns], f"_f.{out}", f"_f.{tier}")
     on = reduce(lambda a, b: a & b, [F.coalesce(rows[c], F.lit("")) == df[f"_{c}"] for c in columns])

@@ -2,36 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atlasmill.session import shared_folder
+
 
 def cut(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df with its lineage cut. The folder is spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """df with its lineage cut, in the folder that all executors share."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="atlasmill-"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
-def best_pairs(spark: SparkSession, pairs: DataFrame, left: str, right: str, order: list, rounds: int = 200) -> DataFrame:
-    """One-to-one pairs, as a greedy pass down the total order would take them.
+def best_pairs(spark: SparkSession, pairs: DataFrame, left: str, right: str, order: list[Column]) -> DataFrame:
+    """One-to-one pairs, as a greedy pass up the total order would take them.
 
-    A pair that is first in the order for both its sides is taken; what shares a side with one taken goes; again until none is left.
-    The order must be total: end it with both keys.
+    A pair that is first in the order for both its sides is taken; what shares a side with one taken goes; again until none is left. The first
+    pair of all is always taken, so it ends. The order must be total: end it with both keys. A round sums up by key, with partial
+    sums, and writes what is open once.
     """
-    taken = pairs.limit(0)
-    open_ = pairs
-    for _ in range(rounds):
-        ranked = open_.withColumn("_l", F.row_number().over(Window.partitionBy(left).orderBy(*order))).withColumn("_r", F.row_number().over(Window.partitionBy(right).orderBy(*order)))
-        now = cut(spark, ranked.where("_l = 1 AND _r = 1").select(pairs.columns))
-        if now.isEmpty():
-            return taken
-        taken = taken.unionByName(now)
-        open_ = cut(spark, open_.join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti").select(pairs.columns))
-    raise RuntimeError(f"pairs left after {rounds} rounds")
+    told = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    taken, open_ = [], pairs.withColumn("_order", told)
+    while True:
+        best = [open_.groupBy(k).agg(F.min("_order").alias(f"_best{i}")) for i, k in enumerate((left, right))]
+        now = cut(spark, open_.join(best[0], left).join(best[1], right).withColumn("_taken", (F.col("_order") == F.col("_best0")) & (F.col("_order") == F.col("_best1"))).drop("_best0", "_best1"))
+        won = now.where("_taken")
+        if won.isEmpty():
+            break
+        taken.append(won.select(pairs.columns))
+        open_ = now.where("NOT _taken").join(won.select(left), left, "left_anti").join(won.select(right), right, "left_anti").drop("_taken")
+    return reduce(DataFrame.unionByName, taken, pairs.limit(0))
 
 
 def components(spark: SparkSession, nodes: DataFrame, links: DataFrame, node: str = "id", rounds: int = 60) -> DataFrame:
@@ -49,4 +53,6 @@ def components(spark: SparkSession, nodes: DataFrame, links: DataFrame, node: st
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return nodes.select(F.col(node)).distinct().join(edges, F.col(node) == edges.u, "left").select(node, F.coalesce("v", node).alias("component"))

@@ -38,7 +38,8 @@ def cell_curves(rows: DataFrame, base: DataFrame, effects: dict[str, DataFrame],
     base(draw, value); effects: column -> (column, draw, value). Each distinct cell and age is worked out once. A level without effects, and null, count as 0.
     """
     keys = [*effects, at]
-    cells = rows.select(keys).distinct().withColumn("_d", F.lit(1)).join(base.select("draw", F.col("value").alias("_base")).withColumn("_d", F.lit(1)), "_d").drop("_d")
+    draws = base.agg(F.collect_list(F.struct("draw", F.col("value").alias("_base"))).alias("_draws"))  # one row: as many as the sampler drew
+    cells = rows.select(keys).distinct().join(F.broadcast(draws)).select(*keys, F.inline("_draws"))
     parts = [F.col("_base")]
     for i, (key, table) in enumerate(effects.items()):
         cells = cells.join(table.select(key, "draw", F.col("value").alias(f"_e{i}")), [key, "draw"], "left")

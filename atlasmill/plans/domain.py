@@ -20,6 +20,23 @@ def _left(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(F.col("c_custkey").alias("osm"), (F.col("c_nationkey") % 5).alias("kind"), F.col("c_acctbal").alias("bal"), lon.alias("lon"), lat.alias("lat"))
 
 
+def _names(rows: DataFrame, left: bool) -> DataFrame:
+    """Names, brands and identifiers, missing ones among them."""
+    key = F.col("c_custkey" if left else "p_partkey")
+    name = F.when(key % (4 if left else 5) != 0, F.lower("c_mktsegment" if left else "p_type"))
+    phone = F.when(key % (3 if left else 2) == 0, (key % 40).cast("string"))
+    brand = F.concat(F.lit("b"), (key % 3).cast("string"))
+    x = "1" if left else "2"
+    return rows.select(key.alias("osm" if left else "ovt"), name.alias(f"name{x}"), brand.alias(f"brand{x}"), phone.alias(f"phone{x}"))
+
+
+def _dense(spark: SparkSession, d: str) -> DataFrame:
+    """The left side with about one other within 100 m of each at 1,500 rows."""
+    c = table(spark, d, "customer")
+    lon, lat = (base + F.pmod(F.col("c_custkey") * k, F.lit(m)) * 0.00002 for base, k, m in ((-122.45, 7919, 1009), (47.5, 5641, 1013)))
+    return c.select(F.col("c_custkey").alias("osm"), (F.col("c_nationkey") % 5).alias("kind"), F.col("c_acctbal").alias("bal"), lon.alias("lon"), lat.alias("lat")).join(_names(c, True), "osm")
+
+
 def _right(spark: SparkSession, d: str) -> DataFrame:
     lon, lat = _at("p_partkey", 6287, 8713)
     return table(spark, d, "part").select(F.col("p_partkey").alias("ovt"), (F.col("p_size") % 5).alias("other"), F.col("p_retailprice").alias("price"), lon.alias("lon"), lat.alias("lat"))
@@ -29,7 +46,28 @@ L = "SELECT c_custkey AS osm, c_nationkey % 5 AS kind, c_acctbal AS bal, -122.45
 R = "SELECT p_partkey AS ovt, p_size % 5 AS other, p_retailprice AS price, -122.45 + ((p_partkey * 6287) % 10007) * 0.00002 AS lon2, 47.5 + ((p_partkey * 8713) % 10009) * 0.00002 AS lat2 FROM part"
 DIST = "2 * 6371000.0 * asin(sqrt(least(1.0, sin((radians(lat2) - radians(lat)) / 2) ** 2 + cos(radians(lat)) * cos(radians(lat2)) * sin((radians(lon2) - radians(lon)) / 2) ** 2)))"
 PAIRS = f"SELECT osm, ovt, kind, other, bal, price, d FROM (SELECT *, {DIST} AS d FROM ({L}) a, ({R}) b WHERE lat2 BETWEEN lat - 0.002 AND lat + 0.002) WHERE d <= least(100 + kind * 40, 200)"
-SCORED = f"SELECT osm, ovt, d, 0.2 * greatest(0.0, least(1.0, 1 - d / (100 + kind * 40))) + 0.4 * 0.5 + 0.4 * CASE WHEN kind = other THEN 1.0 ELSE 0.5 END AS score FROM ({PAIRS})"
+DENSE = "SELECT c_custkey AS osm, c_nationkey % 5 AS kind, c_acctbal AS bal, CASE WHEN c_custkey % 4 <> 0 THEN lower(c_mktsegment) END AS name, -122.45 + ((c_custkey * 7919) % 1009) * 0.00002 AS lon, 47.5 + ((c_custkey * 5641) % 1013) * 0.00002 AS lat FROM customer"
+
+
+def _apart(a: str, b: str) -> float:
+    """Indel ratio by the plain recurrence, for the SQL's table of ratios."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+    return 200 * row[-1] / (len(a) + len(b))
+
+
+SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
+TYPES = ("economy", "large", "medium", "promo", "small", "standard")
+RATIOS = "(VALUES " + ", ".join(f"('{a}', '{b}', {_apart(a, b)!r}::DOUBLE)" for a in SEGMENTS for b in sorted({*SEGMENTS, *TYPES})) + ") r(a, b, ratio)"
+BEST = "greatest(r.ratio, CASE WHEN osm % 3 = ovt % 3 THEN 100 ELSE 50 END) / 100"
+KIND = "CASE WHEN kind = other THEN 1.0 WHEN ((1 << (kind % 3)::INT) & (1 << (other % 3)::INT)) <> 0 THEN 0.5 ELSE 0.0 END"
+SAME = "CASE WHEN osm % 40 = ovt % 40 THEN 1.0 ELSE 0.0 END"
+NEAR = "greatest(0.0, least(1.0, 1 - d / (100 + kind * 40)))"
+SCORED = f"""SELECT osm, ovt, d, CASE WHEN osm % 3 = 0 AND ovt % 2 = 0 THEN 0.1667 * {NEAR} + 0.3333 * {BEST} + 0.3333 * {KIND} + 0.1667 * {SAME} ELSE 0.2 * {NEAR} + 0.4 * {BEST} + 0.4 * {KIND} END AS score
+ FROM ({PAIRS}) p JOIN customer ON osm = c_custkey JOIN part ON ovt = p_partkey LEFT JOIN {RATIOS} ON r.a = CASE WHEN osm % 4 <> 0 THEN lower(c_mktsegment) END AND r.b = CASE WHEN ovt % 5 <> 0 THEN lower(p_type) END"""
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -38,9 +76,13 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     near = conflate.distance_score(F.col("distance_m"), 100 + F.col("kind") * 40)
-    kind = F.when(F.col("kind") == F.col("other"), 1.0).otherwise(0.5)
-    score = conflate.composite(near, conflate.name_score([F.lit(None).cast("double"), F.lit(None).cast("double")]), kind, F.lit(0.0), F.lit(False))
-    return _pairs(spark, d).select("osm", "ovt", "distance_m", score.alias("score"))
+    bits = lambda c: F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4)), (F.col(c) % 3 + 1).cast("int"))
+    kind = conflate.type_score(F.col("kind").cast("string"), F.col("other").cast("string"), bits("kind"), bits("other"))
+    pairs = _pairs(spark, d).join(_names(table(spark, d, "customer"), True), "osm").join(_names(table(spark, d, "part"), False), "ovt")
+    pairs = conflate.with_ratio(conflate.with_ratio(pairs, "name1", "name2", "names"), "brand1", "brand2", "brands")
+    same, comparable = conflate.identifier_score([(F.col("phone1"), F.col("phone2"))])
+    score = conflate.composite(near, conflate.name_score([F.col("names"), F.col("brands")]), kind, same, comparable)
+    return pairs.select("osm", "ovt", "distance_m", score.alias("score"))
 
 
 @query(f"SELECT osm, ovt, round(d, 6) AS distance_m FROM ({PAIRS})")
@@ -48,9 +90,19 @@ def j6_radius_join(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(spark, d).select("osm", "ovt", F.round("distance_m", 6).alias("distance_m"))
 
 
-@query(f"SELECT a.osm, b.osm AS other, round({DIST.replace('lat2', 'b.lat').replace('lon2', 'b.lon').replace('(lat)', '(a.lat)').replace('(lon)', '(a.lon)')}, 6) AS distance_m FROM ({L}) a JOIN ({L}) b ON a.osm < b.osm WHERE {DIST.replace('lat2', 'b.lat').replace('lon2', 'b.lon').replace('(lat)', '(a.lat)').replace('(lon)', '(a.lon)')} <= 100")
+def _two(expr: str) -> str:
+    """The distance between a row of a and one of b."""
+    return expr.replace("lat2", "b.lat").replace("lon2", "b.lon").replace("(lat)", "(a.lat)").replace("(lon)", "(a.lon)")
+
+
+CLOSE = f"SELECT a.osm AS osm, b.osm AS other, a.kind AS k1, b.kind AS k2, a.name AS n1, b.name AS n2, {_two(DIST)} AS d FROM ({DENSE}) a JOIN ({DENSE}) b ON a.osm < b.osm AND b.lat BETWEEN a.lat - 0.001 AND a.lat + 0.001 WHERE {_two(DIST)} <= 100"
+TWINS = f"""SELECT osm, other, score FROM (SELECT osm, other, 0.3 * greatest(0.0, least(1.0, 1 - d / greatest(60 + k1 * 20, 60 + k2 * 20))) + 0.5 * coalesce(r.ratio / 100, 0.5) + 0.2 * {KIND.replace('kind', 'k1').replace('other', 'k2')} AS score
+ FROM ({CLOSE}) LEFT JOIN {RATIOS} ON r.a = n1 AND r.b = n2) WHERE score >= 0.75"""
+
+
+@query(f"SELECT osm, other, round(d, 3) AS distance_m FROM ({CLOSE})")
 def j6b_radius_self_join(spark: SparkSession, d: str) -> DataFrame:
-    return spatial.radius_self_join(_left(spark, d), "osm", 100.0).select("osm", "other", F.round("distance_m", 6).alias("distance_m"))
+    return spatial.radius_self_join(_dense(spark, d), "osm", 100.0).select("osm", "other", F.round("distance_m", 3).alias("distance_m"))
 
 
 @query(f"SELECT osm FROM ({L}) WHERE osm NOT IN (SELECT osm FROM ({PAIRS}) WHERE d <= 100)")
@@ -79,15 +131,27 @@ def d6_one_to_one_match(spark: SparkSession, d: str) -> DataFrame:
     return conflate.match(spark, _scored(spark, d), "osm", "ovt", 0.5).select("osm", "ovt", F.round("score", 6).alias("score"))
 
 
-@query(f"""WITH RECURSIVE e AS MATERIALIZED (SELECT a.osm AS u, b.osm AS v FROM ({L}) a JOIN ({L}) b ON a.osm <> b.osm AND a.kind = b.kind WHERE {DIST.replace('lat2', 'b.lat').replace('lon2', 'b.lon').replace('(lat)', '(a.lat)').replace('(lon)', '(a.lon)')} <= 100),
- r(n, c) AS (SELECT osm, osm FROM ({L}) UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.n), m AS (SELECT n AS osm, min(c) AS component FROM r GROUP BY n)
- SELECT osm, component, rank, first_value(osm) OVER (PARTITION BY component ORDER BY rank) AS winner FROM (SELECT osm, component, row_number() OVER (PARTITION BY component ORDER BY bal DESC, osm) AS rank FROM m JOIN ({L}) USING (osm))""")
-def d8_d11_self_dedup(spark: SparkSession, d: str) -> DataFrame:
-    left = _left(spark, d)
-    kind = left.select("osm", "kind")
-    links = spatial.radius_self_join(left, "osm", 100.0).join(kind, "osm").join(kind.toDF("other", "k2"), "other").where("kind = k2").select("osm", "other")
-    comp = loops.components(spark, left, links, "osm")
-    return conflate.winners(left.join(comp, "osm"), "component", "osm", "bal", ["bal"]).select("osm", "component", "rank", "winner")
+@query(f"""WITH RECURSIVE t AS MATERIALIZED ({TWINS}), e AS MATERIALIZED (SELECT osm AS u, other AS v FROM t UNION ALL SELECT other, osm FROM t),
+ r(n, c) AS (SELECT osm, osm FROM ({DENSE}) UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.n), m AS (SELECT n AS osm, min(c) AS component FROM r GROUP BY n)
+ SELECT osm, component, rank, first_value(osm) OVER (PARTITION BY component ORDER BY rank) AS winner FROM (SELECT osm, component, row_number() OVER (PARTITION BY component ORDER BY bal DESC, (name IS NOT NULL)::INT DESC, osm) AS rank FROM m JOIN ({DENSE}) USING (osm))""")
+def d8_d10_self_dedup(spark: SparkSession, d: str) -> DataFrame:
+    rows, links = _twins(spark, d)
+    comp = loops.components(spark, rows, links, "osm")
+    return conflate.winners(rows.join(comp, "osm"), "component", "osm", "bal", ["name1"]).select("osm", "component", "rank", "winner")
+
+
+def _twins(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = _dense(spark, d).withColumns({"radius": (60 + F.col("kind") * 20).cast("double"), "label": F.col("kind").cast("string"), "bits": F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4)), (F.col("kind") % 3 + 1).cast("int"))})
+    return rows, conflate.self_links(rows, "osm", "name1", "label", "bits", "radius").select("osm", "other")
+
+
+@query(f"""WITH RECURSIVE t AS MATERIALIZED ({TWINS}), e AS MATERIALIZED (SELECT osm AS u, other AS v FROM t UNION ALL SELECT other, osm FROM t), r(n, c) AS (SELECT osm, osm FROM ({DENSE}) UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.n),
+ m AS (SELECT n AS osm, min(c) AS component FROM r GROUP BY n), w AS (SELECT osm, component, bal, row_number() OVER (PARTITION BY component ORDER BY bal DESC, (name IS NOT NULL)::INT DESC, osm) AS rank FROM m JOIN ({DENSE}) USING (osm))
+ SELECT a.osm AS dropped, a.component, b.osm AS winner, round(a.bal, 6) AS confidence, round(b.bal, 6) AS winner_confidence FROM w a JOIN w b ON a.component = b.component AND a.rank > 1 AND b.rank = 1""")
+def d11_dedup_audit(spark: SparkSession, d: str) -> DataFrame:
+    rows, links = _twins(spark, d)
+    ranked = conflate.winners(rows.join(loops.components(spark, rows, links, "osm"), "osm"), "component", "osm", "bal", ["name1"])
+    return conflate.audit(ranked, "osm", "component", "bal").select(F.col("osm").alias("dropped"), "component", "winner", F.round("confidence", 6).alias("confidence"), F.round("winner_confidence", 6).alias("winner_confidence"))
 
 
 @query(f"""WITH m AS ({_rounds(8)}), o AS (SELECT osm, (bal + 1000) / 12000 AS c FROM ({L})), v AS (SELECT ovt, least(price / 2100, 1) AS c FROM ({R}))
@@ -124,12 +188,12 @@ def d14_observations(spark: SparkSession, d: str) -> DataFrame:
     return history.observations(e, "user_id", ["ts", "event_id"], "ts").select("event_id", "tag_value", "changed", "last_at")
 
 
-@query("""SELECT event_id, event_type, prior FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'hard_delete' WHEN 'view' THEN 'lifecycle_prefix_added' WHEN 'click' THEN 'primary_tag_deleted' END AS event_type,
+@query("""SELECT event_id, event_type, prior FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'hard_delete' WHEN 'view' THEN 'lifecycle_prefix_added' WHEN 'click' THEN 'primary_tag_deleted' WHEN 'purchase' THEN 'substantial_rename' END AS event_type,
  last_value(CASE WHEN event_type = 'signup' THEN round(value, 2)::VARCHAR END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM events) WHERE event_type IS NOT NULL AND prior IS NOT NULL""")
 def d15_ghosts(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     own = F.when(F.col("event_type") == "signup", F.round("value", 2).cast("string"))
-    v = e.select("event_id", "user_id", "ts", (F.col("event_type") != "error").alias("visible"), (F.col("event_type") == "view").alias("prefix_added"), (F.col("event_type") == "click").alias("primary_deleted"), F.lit(False).alias("renamed"), own.alias("name"), own.alias("lat"), own.alias("lon"))
+    v = e.select("event_id", "user_id", "ts", (F.col("event_type") != "error").alias("visible"), (F.col("event_type") == "view").alias("prefix_added"), (F.col("event_type") == "click").alias("primary_deleted"), (F.col("event_type") == "purchase").alias("renamed"), own.alias("name"), own.alias("lat"), own.alias("lon"))
     return history.ghosts(v, "user_id", ["ts", "event_id"]).select("event_id", "event_type", F.col("prior_name").alias("prior"))
 
 
@@ -153,7 +217,7 @@ CROSSWALK = [("p_brand", "Brand#11", "EXCLUDE"), ("p_brand", "Brand#12", "Cafe")
 
 @query("SELECT p_partkey, CASE WHEN p_brand = 'Brand#12' THEN 'Cafe' WHEN p_type = 'PROMO' THEN 'Market' WHEN p_type IS NOT NULL THEN 'Other Place' END AS label FROM part")
 def j10_value_cascade(spark: SparkSession, d: str) -> DataFrame:
-    cross = spark.createDataFrame(CROSSWALK[:4], "key string, value string, label string")
+    cross = spark.createDataFrame([(*x, i) for i, x in enumerate(CROSSWALK)], "key string, value string, label string, line int")
     return lookup.value_cascade(table(spark, d, "part").select("p_partkey", "p_brand", "p_type"), cross, ["p_brand", "p_type"]).select("p_partkey", "label")
 
 
@@ -231,7 +295,7 @@ def d20_stable_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fs2_fs7_names_match(spark: SparkSession, d: str) -> DataFrame:
-    """Names two apart in order of key, on distinct pairs."""
+    """Names next to each other in order of key, on distinct pairs."""
     n = table(spark, d, "part").select("p_partkey", "p_name")
     pairs = n.alias("a").join(n.alias("b"), F.expr("b.p_partkey = a.p_partkey + 1")).select(F.col("a.p_name").alias("a"), F.col("b.p_name").alias("b")).distinct()
     return pairs.select("a", "b", fuzzy.plain_name_udf("a").alias("plain"), fuzzy.set_ratio_udf("a", "b").alias("set_ratio"), fuzzy.sort_ratio_udf("a", "b").alias("sort_ratio"), fuzzy.same_name_udf("a", "b").alias("same"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlasmill.operators.lookup import first_wins, latest, require, wide
+from atlasmill.operators import cells
 from atlasmill.plans.registry import query
 from atlasmill.session import table
 
@@ -80,8 +81,8 @@ def a5_w2_latest_value(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_mktsegment AS seg, min(c_acctbal) AS lo, round(quantile_cont(c_acctbal, 0.25), 4) AS q1, round(median(c_acctbal), 4) AS mid, round(quantile_cont(c_acctbal, 0.75), 4) AS q3, max(c_acctbal) AS hi FROM customer GROUP BY 1")
 def a8_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    q = F.percentile("c_acctbal", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("seg")).agg(F.min("c_acctbal").alias("lo"), q.alias("q"), F.max("c_acctbal").alias("hi"))
+    rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("seg"), "c_acctbal")
+    out = rows.groupBy("seg").agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi")).join(cells.quantiles(spark, rows, ["seg"], "c_acctbal", [0.25, 0.5, 0.75]), "seg")
     return out.select("seg", "lo", F.round(F.col("q")[0], 4).alias("q1"), F.round(F.col("q")[1], 4).alias("mid"), F.round(F.col("q")[2], 4).alias("q3"), "hi")
 
 
@@ -114,7 +115,7 @@ def a12_w17_errors(spark: SparkSession, d: str) -> DataFrame:
     # mean ranks from counts of distinct values, not of rows
     for v, r in (("x", "ax"), ("y", "ay")):
         n = rows.groupBy(v).agg(F.count("*").alias("n"))
-        rank = n.select(F.col(v), (F.sum("n").over(Window.orderBy(v)) - (F.col("n") - 1) / 2).alias(r))
+        rank = cells.running_sum(spark, n, [v], F.col("n"), "upto").select(F.col(v), (F.col("upto") - (F.col("n") - 1) / 2).alias(r))
         rows = rows.join(rank, v)
     e = F.col("x") - F.col("y")
     return rows.agg(F.round(F.sqrt(F.avg(e * e)), 4).alias("rmse"), F.round(F.avg(F.abs(e)), 4).alias("mae"), F.round(F.avg(e), 4).alias("bias"), F.round(F.stddev_pop(e), 4).alias("sd"), F.round(F.corr("x", "y"), 6).alias("pearson"), F.round(F.corr("ax", "ay"), 6).alias("spearman"))
@@ -143,7 +144,7 @@ def a14_a15_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
  SELECT bin, count(*) AS n, round(avg(o_totalprice), 2) AS mean FROM (SELECT o_totalprice, len(list_filter(edges, lambda x: x <= o_totalprice)) AS bin FROM orders, e) GROUP BY bin""")
 def a18_equal_mass_bins(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").select("o_totalprice")
-    edges = rows.agg(F.array_distinct(F.percentile("o_totalprice", F.array(*[F.lit(q) for q in (0.2, 0.4, 0.6, 0.8)]))).alias("edges"))
+    edges = cells.quantiles(spark, rows.withColumn("all", F.lit(0)), ["all"], "o_totalprice", [0.2, 0.4, 0.6, 0.8]).select(F.array_distinct("q").alias("edges"))
     cut = rows.crossJoin(F.broadcast(edges)).select("o_totalprice", F.size(F.filter("edges", lambda x: x <= F.col("o_totalprice"))).cast("long").alias("bin"))
     return cut.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean"))
 
@@ -249,8 +250,8 @@ def w16_rank_gap(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_mktsegment, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5('7' || c_custkey::VARCHAR), c_custkey) - 1) % 5 + 1 AS fold FROM customer")
 def w15_folds(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("c_mktsegment").orderBy(F.md5(F.concat(F.lit("7"), F.col("c_custkey").cast("string"))), "c_custkey")
-    return table(spark, d, "customer").select("c_custkey", "c_mktsegment", ((F.row_number().over(w) - 1) % 5 + 1).cast("long").alias("fold"))
+    rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment", F.md5(F.concat(F.lit("7"), F.col("c_custkey").cast("string"))).alias("h"))
+    return cells.places(spark, rows, ["c_mktsegment"], ["h", "c_custkey"], "n").select("c_custkey", "c_mktsegment", ((F.col("n") - 1) % 5 + 1).cast("long").alias("fold"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
@@ -260,9 +261,10 @@ def t1_t2_top_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_mktsegment, c_custkey, c_acctbal, CASE WHEN a <= 3 THEN 'top' ELSE 'bottom' END AS side FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS a, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS b FROM customer) WHERE a <= 3 OR b <= 3")
 def t3_extremes(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("c_mktsegment")
-    rows = table(spark, d, "customer").withColumns({"a": F.row_number().over(w.orderBy(F.desc("c_acctbal"), "c_custkey")), "b": F.row_number().over(w.orderBy("c_acctbal", "c_custkey"))})
-    return rows.where("a <= 3 OR b <= 3").select("c_mktsegment", "c_custkey", "c_acctbal", F.when(F.col("a") <= 3, "top").otherwise("bottom").alias("side"))
+    w, rows = Window.partitionBy("c_mktsegment"), table(spark, d, "customer").select("c_mktsegment", "c_custkey", "c_acctbal")
+    # each side by itself, so that tasks cut their rows to three a segment before the shuffle
+    first = lambda side, *order: rows.withColumn("n", F.row_number().over(w.orderBy(*order, "c_custkey"))).where("n <= 3").select(*rows.columns, F.lit(side).alias("side"))
+    return first("top", F.desc("c_acctbal")).unionByName(first("bottom", F.asc("c_acctbal"))).groupBy(*rows.columns).agg(F.max("side").alias("side"))
 
 
 @query("WITH t AS (SELECT p_type FROM part GROUP BY 1 ORDER BY count(*) DESC, p_type LIMIT 3) SELECT p_partkey, p_type FROM part WHERE p_type IN (SELECT p_type FROM t)")
