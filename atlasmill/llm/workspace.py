@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -19,10 +20,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only on a local master where that is unset, as in tests."""
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="atlasmill-")
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="atlasmill-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
