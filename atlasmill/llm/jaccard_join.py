@@ -115,7 +115,7 @@ def _describe(k: int, common: int):
                     seen.add(key)
                     held.append(s)
                     size += len(s)
-                    if size > 1_000_000:
+                    if size > 500_000:
                         settle()
             yield pa.record_batch({"kind": pa.array([0] * len(batch), pa.int32()), "id": pa.array(out["id"], pa.int64()), "ent": pa.array(out["ent"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "bits": pa.array(out["bits"], pa.binary())})
         settle()

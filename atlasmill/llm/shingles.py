@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U64 = np.uint64
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}

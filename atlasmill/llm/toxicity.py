@@ -66,12 +66,15 @@ def select(rows: list[np.ndarray], y: np.ndarray, n: int, least: int = 4) -> np.
     often = np.argsort(-np.where((df >= least) & (df <= 0.9 * len(y)), df, -1), kind="stable")[:COMMON]
     often = np.sort(often[df[often] >= least])
     if len(often) > 1:
-        x = np.zeros((len(rows), len(often)), np.float32)
-        for i, r in enumerate(rows):
-            place = np.searchsorted(often, r).clip(max=len(often) - 1)
-            x[i, place[often[place] == r]] = 1
-        both, hits = x.T @ x, x.T @ (x * y[:, None].astype(np.float32))
-        chi = _chi(both.astype(float), hits.astype(float), y)
+        both, hits = np.zeros((2, len(often), len(often)))
+        for s in range(0, len(rows), 2000):
+            x = np.zeros((len(rows[s : s + 2000]), len(often)), np.float32)
+            for i, r in enumerate(rows[s : s + 2000]):
+                place = np.searchsorted(often, r).clip(max=len(often) - 1)
+                x[i, place[often[place] == r]] = 1
+            both += x.T @ x
+            hits += x.T @ (x * y[s : s + 2000, None].astype(np.float32))
+        chi = _chi(both, hits, y)
         # what the pair tells beyond either term
         chi -= np.maximum(_chi(df[often], hit[often], y)[:, None], _chi(df[often], hit[often], y)[None, :])
         chi[both < least] = -1
