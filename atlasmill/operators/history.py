@@ -50,3 +50,20 @@ def step_counts(rows: DataFrame, start: str, end: str, state: str) -> DataFrame:
     edge = rows.select(state, F.explode(F.array(F.struct(F.col(start).alias("day"), F.lit(1).alias("d")), F.struct(F.col(end).alias("day"), F.lit(-1).alias("d")))).alias("e")).select(state, "e.*")
     day = edge.groupBy(state, "day").agg(F.sum("d").alias("d"))
     return day.select(state, "day", F.sum("d").over(Window.partitionBy(state).orderBy("day")).alias("n"))
+
+
+def replay(base: DataFrame, window: DataFrame, key: str, seq: str) -> DataFrame:
+    """New versions (key, version, at, visible, and the other columns) that a window of diffs adds to a base of known ones.
+
+    base(key, version, ...), window(key, seq, version, at, cut, deleted, ...): a deletion is the next version after all before it, not visible, at the time of its
+    diff's cut, and counts once until the element is back; versions that the base has, or an earlier diff brought, are skipped.
+    """
+    order = Window.partitionBy(key).orderBy(seq, "version")
+    known = base.groupBy(key).agg(F.max("version").alias("_known"), F.max_by("visible", "version").alias("_live"))
+    rows = window.join(known, key, "left").withColumn("_known", F.coalesce("_known", F.lit(0)))
+    live = F.when(~F.col("deleted"), F.col("version"))
+    before = F.greatest("_known", F.coalesce(F.max(live).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumns({"_before": before, "_was": F.coalesce(F.lag("deleted").over(order), ~F.coalesce("_live", F.lit(True)))})
+    fresh = (F.col("deleted") & ~F.col("_was")) | (~F.col("deleted") & (F.col("version") > F.col("_before")))
+    told = rows.where(fresh).withColumns({"version": F.when(F.col("deleted"), F.col("_before") + 1).otherwise(F.col("version")), "at": F.when(F.col("deleted"), F.col("cut")).otherwise(F.col("at")), "visible": ~F.col("deleted")})
+    return told.drop("_known", "_live", "_before", "_was", "cut", "deleted", seq)

@@ -293,6 +293,32 @@ def d20_stable_ids(spark: SparkSession, d: str) -> DataFrame:
     return ids
 
 
+@query("""SELECT 'u' || (k - 3)::VARCHAR AS old_id, md5(k::VARCHAR) AS new_id, 'split_from' AS change FROM (SELECT o_orderkey AS k FROM orders) WHERE k % 6 = 5
+ UNION ALL SELECT 'm' || o_orderkey::VARCHAR, 'u' || o_orderkey::VARCHAR, 'merged_into' FROM orders WHERE o_orderkey % 6 = 0 UNION ALL SELECT NULL, md5(o_orderkey::VARCHAR), 'minted' FROM orders WHERE o_orderkey % 6 = 1
+ UNION ALL SELECT 'r' || o_orderkey::VARCHAR, NULL, 'retired' FROM orders WHERE o_orderkey % 6 = 1 UNION ALL SELECT 'u' || o_orderkey::VARCHAR, 'u' || o_orderkey::VARCHAR, 'revived' FROM orders WHERE o_orderkey % 6 = 3
+ UNION ALL SELECT 'u' || o_orderkey::VARCHAR, md5(o_orderkey::VARCHAR), 'renamed_guard' FROM orders WHERE o_orderkey % 6 = 4 UNION ALL SELECT 'u' || o_orderkey::VARCHAR, NULL, 'retired' FROM orders WHERE o_orderkey % 6 = 4""")
+def d20_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Keys by class: 0 merges two ids, 1 is new beside an id that goes, 2 and 5 split one, 3 is back, 4 has another name."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("rid"))
+    k, own = F.col("rid") % 6, F.col("rid").cast("string")
+    a, more = F.concat(F.lit("a"), own), F.when(k == 0, F.concat(F.lit("y"), own)).when(k == 5, F.concat(F.lit("a"), (F.col("rid") - 3).cast("string")))
+    release = o.select("rid", F.array_compact(F.array(a, more)).alias("keys"), F.when(k == 4, "zinc quay").otherwise("alpha shop").alias("name"))
+    row = lambda at, key, id_: o.where(at).select(F.concat(F.lit(key), own).alias("source_key"), F.concat(F.lit(id_), own).alias("unified_id"), F.lit("r0" if id_ == "u" else "r1").alias("id_minted"), F.lit("r1").alias("last_release"), (k == 3).alias("retired"), F.lit("alpha shop").alias("name"))
+    registry = row(k.isin(0, 2, 3, 4), "a", "u").unionByName(row(k == 0, "y", "m")).unionByName(row(k == 1, "x", "r"))
+    return conflate.stable_ids(spark, release, registry, lambda salt: F.md5(own if not salt else F.concat(own, F.lit(f"#{salt}"))), guard=70.0)[1]
+
+
+@query("""WITH b AS (SELECT user_id AS id, max(event_id) AS known, arg_max(event_type <> 'error', event_id) AS live FROM events WHERE ts < TIMESTAMP '2024-01-08' GROUP BY 1), w AS (SELECT user_id AS id, event_id, event_id AS version, ts, event_type = 'error' AS deleted FROM events WHERE ts >= TIMESTAMP '2024-01-07'),
+ r AS (SELECT w.*, greatest(coalesce(known, 0), coalesce(max(CASE WHEN NOT deleted THEN version END) OVER (PARTITION BY w.id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS before, coalesce(lag(deleted) OVER (PARTITION BY w.id ORDER BY event_id), NOT coalesce(live, true)) AS was FROM w LEFT JOIN b ON w.id = b.id)
+ SELECT id, CASE WHEN deleted THEN before + 1 ELSE version END AS version, CASE WHEN deleted THEN (ts::DATE + INTERVAL 1 DAY)::TIMESTAMP ELSE ts END AS at, NOT deleted AS visible FROM r WHERE (deleted AND NOT was) OR (NOT deleted AND version > before)""")
+def d18_replay(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    kind = e.schema["ts"].dataType
+    told = e.select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_id").alias("version"), F.col("ts").alias("at"), F.date_add(F.to_date("ts"), 1).cast(kind).alias("cut"), (F.col("event_type") == "error").alias("deleted"))
+    base = told.where(F.col("at") < F.lit("2024-01-08").cast(kind)).select("id", "version", (~F.col("deleted")).alias("visible"))
+    return history.replay(base, told.where(F.col("at") >= F.lit("2024-01-07").cast(kind)), "id", "seq").select("id", "version", "at", "visible")
+
+
 @query()
 def fs2_fs7_names_match(spark: SparkSession, d: str) -> DataFrame:
     """Names next to each other in order of key, on distinct pairs."""

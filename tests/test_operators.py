@@ -73,3 +73,23 @@ def test_stable_ids(spark):
     ids, log = conflate.stable_ids(spark, release, reg, F.concat(F.lit("new"), F.col("rid").cast("string")))
     assert {r.rid: (r.unified_id, r.carried) for r in ids.collect()} == {1: ("A", True), 2: ("C", True), 3: ("new3", False)}
     assert {(r.old_id, r.new_id, r.change) for r in log.collect()} == {("B", "A", "merged_into"), ("D", None, "retired"), (None, "new3", "minted")}
+
+
+def test_ids_by_alias_with_clashes_over_releases(spark):
+    reg = spark.createDataFrame([("a1", "u1", "r0", "r1", False), ("a2", "u2", "r0", "r1", False), ("a9", "u9", "r0", "r0", True), ("a8", "new3", "r0", "r1", False)], "source_key string, unified_id string, id_minted string, last_release string, retired boolean")
+    release = spark.createDataFrame([(1, ["a1"]), (2, ["b2"]), (3, ["c3"]), (4, ["a9"])], "rid long, keys array<string>")
+    aliases = spark.createDataFrame([("a2", "b2")], "loser_key string, winner_key string")
+    mint = lambda salt: F.concat(F.lit("new"), F.col("rid").cast("string"), F.lit(f"+{salt}" if salt else ""))
+    ids, log = conflate.stable_ids(spark, release, reg, mint, aliases)
+    assert {(r.rid, r.unified_id, r.carried) for r in ids.collect()} == {(1, "u1", True), (2, "u2", True), (3, "new3+1", False), (4, "u9", True)}
+    assert {tuple(r) for r in log.collect()} == {("new3", None, "retired"), (None, "new3+1", "minted"), ("u9", "u9", "revived")}
+    after = {r.source_key: (r.unified_id, r.id_minted, r.last_release, r.retired) for r in conflate.next_registry(release, ids, reg, "r2").collect()}
+    assert after == {"a1": ("u1", "r0", "r2", False), "b2": ("u2", "r0", "r2", False), "c3": ("new3+1", "r2", "r2", False), "a9": ("u9", "r0", "r2", False), "a2": ("u2", "r0", "r1", False), "a8": ("new3", "r0", "r1", True)}
+
+
+def test_replay_of_deletions(spark):
+    base = spark.createDataFrame([(1, 3, True), (2, 5, False)], "id long, version long, visible boolean")
+    rows = [(1, 1, 3, "t", "c1", False), (1, 2, None, None, "c2", True), (1, 3, None, None, "c3", True), (1, 4, 5, "t4", "c4", False), (2, 1, None, None, "c1", True), (3, 1, 1, "t1", "c1", False)]
+    window = spark.createDataFrame(rows, "id long, seq long, version long, at string, cut string, deleted boolean")
+    got = {(r.id, r.version, r["at"], r.visible) for r in history.replay(base, window, "id", "seq").collect()}
+    assert got == {(1, 4, "c2", False), (1, 5, "t4", True), (3, 1, "t1", True)}
