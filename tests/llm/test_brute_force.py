@@ -133,3 +133,11 @@ def test_long_texts(spark):
     assert sorted(len(r.secret_spans) for r in secrets.find_secrets(spark, df).collect()) == [0, 1, 1]  # a long run of hex letters is a match
     got = substring_dedup.repeats(spark, df).collect()
     assert [(r.doc_id, r.start, r.end, r.other_doc_id) for r in got] == [(2, 1, 120_001, 1)]
+
+
+def test_repeats_of_an_id_with_two_texts(spark):
+    passage = text(80, 8000)
+    rows = [(1, f"a {text(20, 8001)} {passage}"), (2, f"a {passage} {text(20, 8002)}"), (2, "b " + text(90, 8003)), (2, "b " + text(90, 8003)), (3, "b " + text(90, 8003))]
+    for order in (rows, rows[::-1]):
+        got = substring_dedup.repeats(spark, spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert [(r.doc_id, r.other_doc_id) for r in got] == [(2, 1)] and got[0].end - got[0].start >= 80
