@@ -55,9 +55,8 @@ def select(rows: list[np.ndarray], y: np.ndarray, n: int, least: int = 4) -> np.
     The first are those with the largest chi-squared, above 4. A pair of terms may tell what neither does alone, so of the others, those
     with the largest chi-squared of a pair are taken with their partners; pairs are formed of the COMMON most frequent features, over all rows.
     """
-    at, label = np.concatenate(rows), np.repeat(y, [len(r) for r in rows])
-    df = np.bincount(at, minlength=1 << HASH_BITS).astype(float)
-    hit = np.bincount(at, weights=label, minlength=1 << HASH_BITS)
+    count = lambda some: np.bincount(np.concatenate([np.empty(0, np.int32), *some]), minlength=1 << HASH_BITS).astype(float)
+    df, hit = count(rows), count([r for r, label in zip(rows, y, strict=True) if label])
     alone = _chi(df, hit, y)
     alone[df < least] = -1
     best = np.argsort(-alone, kind="stable")[: n // 2]
