@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from atlasmill.operators import conflate, loops
+from atlasmill.operators import clumps, conflate, loops
 
 ROWS = "id long, name string, label string, bits int, radius double, lon double, lat double"
 
@@ -26,3 +26,13 @@ def test_self_components_against_all_links(spark, seed):
     want = dict(loops.components(spark, rows, all_links.select("id", "other"), "id").collect())
     assert len(set(want.values())) < 700
     assert dict(conflate.self_components(spark, rows, "id", "name", "label", "bits", "radius").collect()) == want
+
+
+def test_links_of_a_crowd_grow_as_its_rows(spark):
+    """20,000 rows within 100 m have 1e8 links and more; at most one a row and tile is written, and those of no name stay apart."""
+    rng = random.Random(9)
+    rows = [(i, None if i % 10 == 0 else "cafe", "a", 1, 100.0, 12 + rng.uniform(0, 0.001), 47 + rng.uniform(0, 0.0006)) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, ROWS).cache()
+    assert clumps.links(frame, "id", "name", "label", "bits", "radius", conflate.SELF_WEIGHTS, 100.0, 0.75).count() <= 4 * 20_000
+    got = dict(conflate.self_components(spark, frame, "id", "name", "label", "bits", "radius").collect())
+    assert all(c == (i if i % 10 == 0 else 1) for i, c in got.items()) and len(got) == 20_000
