@@ -21,6 +21,24 @@ def test_best_pairs_is_greedy(spark):
     assert {(r.a, r.b) for r in got.collect()} == want
 
 
+def test_match_in_bands_is_match(spark):
+    """Many bands and one, ties of score, rows without a partner."""
+    rng = random.Random(8)
+    pairs = spark.createDataFrame([(a, b, rng.randint(0, 20) / 20, float(rng.randint(0, 2))) for a in range(30) for b in range(25) if rng.random() < 0.4], "a long, b long, score double, distance_m double").cache()
+    score = lambda x, y: pairs.join(x, "a").join(y, "b")
+    sides = spark.range(33).toDF("a"), spark.range(28).toDF("b")
+    want = {(r.a, r.b) for r in conflate.match(spark, pairs, "a", "b", 0.3).collect()}
+    for most in (60, 10**9):
+        assert {(r.a, r.b) for r in conflate.match_in_bands(spark, score, *sides, "a", "b", 0.3, most).collect()} == want
+
+
+def test_ratio_of_few_texts_reads_pairs_once(spark):
+    rows = [(1, "red cafe", "cafe red"), (2, None, "bar"), (3, "a", " "), (4, "ab", "ac")]
+    pairs = spark.createDataFrame(rows, "k long, a string, b string")
+    once, twice = conflate.with_ratio(pairs, "a", "b", "r", (pairs, pairs)), conflate.with_ratio(pairs, "a", "b", "r")
+    assert set(once.collect()) == set(twice.collect()) and dict(once.select("k", "r").collect()) == {1: 100.0, 2: None, 3: None, 4: 50.0}
+
+
 def test_radius_join_against_all_pairs_and_date_line(spark):
     rng = random.Random(1)
     pt = lambda i: (i, rng.choice([-179.999, 179.999, 12.0, -122.3]) + rng.uniform(-0.002, 0.002), rng.choice([0.0, 47.6, 78.0]) + rng.uniform(-0.002, 0.002))
