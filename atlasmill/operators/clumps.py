@@ -195,7 +195,7 @@ class Tile:
 
 
 def forest(key: str, weights: tuple[float, float, float], search: float, least: float):
-    """Of a tile's rows (key, _name, _label, _bits, _radius, _x, _lon, _lat), links (u, v) to the least key of each component."""
+    """Of a tile's rows (key, _name, _label, _bits, _radius, _x, _lon, _lat), links (u, v) to the least key of each component of several, its own among them."""
 
     def run(t: pa.Table) -> pa.Table:
         codes = []
@@ -209,15 +209,18 @@ def forest(key: str, weights: tuple[float, float, float], search: float, least:
         ids, rank = np.unique(t.column(key).to_numpy(zero_copy_only=False), return_inverse=True)
         first = np.full(len(root), len(ids))
         np.minimum.at(first, root, rank)
-        moved = np.flatnonzero(first[root] != rank)
+        linked = np.flatnonzero(np.bincount(root, minlength=len(root))[root] > 1)
         kind = t.schema.field(key).type
-        return pa.table({"u": pa.array(ids[rank[moved]], kind), "v": pa.array(ids[first[root[moved]]], kind)})
+        return pa.table({"u": pa.array(ids[rank[linked]], kind), "v": pa.array(ids[first[root[linked]]], kind)})
 
     return run
 
 
 def links(rows: DataFrame, key: str, name: str, label: str, bits: str, radius: str, weights: tuple[float, float, float], search: float, least: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """(u, v): at most one link for each row and tile, with the same components as all pairs within search metres whose score is at least least."""
+    """(u, v): at most one link for each row and tile, with the same components as all pairs within search metres whose score is at least least.
+
+    v is the least of the rows that are one component in a tile, and is linked with itself: links for loops.star_components.
+    """
     r = F.col(radius).cast("double")
     told = rows.select(key, F.col(name).alias("_name"), F.col(label).alias("_label"), F.coalesce(F.col(bits).cast("long"), F.lit(0)).alias("_bits"), r.alias("_radius"), F.col(lon).cast("double").alias("_lon"), F.col(lat).cast("double").alias("_lat"))
     told = told.where(F.col(key).isNotNull() & F.col("_lon").isNotNull() & F.col("_lat").isNotNull() & ~F.isnan("_lon") & ~F.isnan("_lat") & (F.col("_radius") > 0))

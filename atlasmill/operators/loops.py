@@ -56,3 +56,22 @@ def components(spark: SparkSession, nodes: DataFrame, links: DataFrame, node: st
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return nodes.select(F.col(node)).distinct().join(edges, F.col(node) == edges.u, "left").select(node, F.coalesce("v", node).alias("component"))
+
+
+def merged_stars(stars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of stars (u, v), where each v that stands for others also has (v, v): (u, m), the least v of each u; and links (u, v) between the v that one u has.
+
+    Both together have the components of stars; the links are as many as stars that meet, not as their rows. What is returned is cut once.
+    """
+    spark = stars.sparkSession
+    of = F.sort_array("v")
+    held = cut(spark, stars.toDF("u", "v").repartition("u").groupBy("u").agg(F.collect_set("v").alias("v")).select("u", of[0].alias("m"), F.when(F.size("v") > 1, of).alias("v")))
+    return held.select("u", "m"), held.where("v IS NOT NULL").select(F.explode("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def star_components(spark: SparkSession, nodes: DataFrame, stars: DataFrame, node: str = "id") -> DataFrame:
+    """components() of stars, see merged_stars: the rounds see only the links between them."""
+    held, links = merged_stars(stars)
+    found = components(spark, held.select(F.col("m").alias("_m")), links, "_m").withColumnRenamed("component", "_component")
+    of = held.join(found, held.m == found._m).select("u", "_component")
+    return nodes.select(node).distinct().join(of, F.col(node) == of.u, "left").select(node, F.coalesce("_component", node).alias("component"))
