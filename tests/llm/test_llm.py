@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from atlasmill.llm import bpe, chat, decontaminate, html_text, imatch, jaccard_join, packing, secrets, substring_dedup, token_counts, toxicity
@@ -265,6 +266,19 @@ def covered(rows, i):
     return set().union(*(range(r.start, r.end) for r in rows if r.doc_id == i))
 
 
+def test_slices_read_a_text_once():
+    """A text comes once with all its requests, and what is given at a time is bounded in words."""
+    texts = {7: " ".join(f"w{i}" for i in range(5000)), 8: "a b c d e f g"}
+    asked = {7: [s << 32 | s + 50 for s in range(0, 4900, 10)], 8: [1 << 32 | 3]}
+    batch = pa.record_batch({"id": pa.array([7, 8]), "text": pa.array(texts.values()), "asked": pa.array(list(asked.values()), pa.list_(pa.int64()))})
+    got = list(substring_dedup._slices(32, 10_000)([batch]))
+    assert len(got) > 1 and all(sum(len(w) // 4 for w in b.column("w").to_pylist()) <= 11_000 for b in got)
+    rows = [r for b in got for r in b.to_pylist()]
+    hashes = {i: next(substring_dedup.word_lists([t])).astype("u4") for i, t in texts.items()}
+    assert sorted((r["id"], r["s"] << 32 | r["e"]) for r in rows) == sorted((i, x) for i, xs in asked.items() for x in xs)
+    assert all(r["w"] == hashes[r["id"]][max(0, r["s"] - 32) : r["e"] + 32].tobytes() for r in rows)
+
+
 def test_repeats_of_parts_seen_before(spark):
     w = text(60, 800).split()
     first, second, whole = (" ".join(x) for x in (w[:30], w[30:], w))
